@@ -93,7 +93,8 @@ def incident_feed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def area_seed(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "supplier").filter("s_suppkey < 78 AND s_suppkey > 0").select(
+    """Suppliers as areas."""
+    return table(spark, folder, "supplier").select(
         F.col("s_suppkey").cast("int").alias("community_area_id"), F.col("s_name").alias("community_area_name")
     )
 
