@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cyclograph.operators.quantiles import exact_quantile
+from cyclograph.session import materialize
 
 LABEL = "trip_count"
 FEATURES = ("crime_count_within_quarter_mile", "day_of_week", "month")
@@ -104,7 +105,8 @@ def fit(rows: DataFrame, label: str = LABEL, features: Sequence[str] = FEATURES,
     for i in range(1, len(columns)):
         for j in range(0, i + 1):
             moments[f"__cross_{i}_{j}"] = n * F.covar_pop(double[columns[i]], double[columns[j]])
-    per_category = rows.groupBy(effect).agg(*[m.alias(k) for k, m in moments.items()])
+    # Read twice below, for the totals and for the effects.
+    per_category = materialize(rows.groupBy(effect).agg(*[m.alias(k) for k, m in moments.items()]), "moments")
 
     pairs = [(i, j) for i in range(1, len(columns)) for j in range(0, i + 1)]
     totals = per_category.agg(

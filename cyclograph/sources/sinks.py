@@ -52,7 +52,7 @@ def replace_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> N
 
 class BatchAppender:
     """``foreachBatch`` target: each micro-batch owns one partition of the table, so a
-    replayed batch replaces itself. Empty batches are skipped."""
+    replayed batch replaces itself. An empty batch has no partition and changes nothing."""
 
     def __init__(self, path: str, also: str | None = None, **jdbc_options: str):
         self.path = path
@@ -60,8 +60,6 @@ class BatchAppender:
         self.jdbc_options = {"batchsize": "10000", **jdbc_options}
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         replace_partitions(batch.withColumn("batch_id", F.lit(batch_id)), self.path, ["batch_id"])
         if self.jdbc_table:
             writer = batch.write.format("jdbc").options(**self.jdbc_options)

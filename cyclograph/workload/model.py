@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cyclograph.operators import regression as reg
+from cyclograph.session import materialize
 from cyclograph.workload.registry import SPLIT_DATE, Domain, register, rounded
 
 # Within-station moments, Cramer's rule for the three weights, station effects.
@@ -30,10 +31,12 @@ fx AS (SELECT s.station_id, s.my - m.wa * s.ma - m.wb * s.mb - m.wc * s.mc - m.w
 """
 
 
-def _fitted(d: Domain) -> tuple[reg.FixedEffectModel, DataFrame]:
-    rows = reg.training_rows(d.station_day, before=SPLIT_DATE)
+def _fitted(d: Domain) -> tuple[reg.FixedEffectModel, DataFrame, DataFrame]:
+    """Model, hold-out rows, later rows. The station-day mart is a table: it is built once."""
+    mart = materialize(d.station_day, "station-day")
+    rows = reg.training_rows(mart, before=SPLIT_DATE)
     chosen = reg.in_training_split("station_id", "date_key")
-    return reg.fit(rows.filter(chosen)), rows.filter(~chosen)
+    return reg.fit(rows.filter(chosen)), rows.filter(~chosen), reg.training_rows(mart, since=SPLIT_DATE)
 
 
 @register("ml1_training_rows", f"SELECT * FROM training WHERE date_key < DATE '{SPLIT_DATE}'")
@@ -50,7 +53,7 @@ UNION ALL SELECT 'day_of_week', NULL, wb FROM m UNION ALL SELECT 'month', NULL,
 UNION ALL SELECT '__INTERCEPT__', NULL, w0 FROM m UNION ALL SELECT 'station_id', station_id, effect FROM fx)""",
 )
 def weights(d: Domain) -> DataFrame:
-    model, _ = _fitted(d)
+    model, _, _ = _fitted(d)
     return model.weight_rows().withColumn("weight", rounded("weight"))
 
 
@@ -66,7 +69,7 @@ SELECT round(avg(abs(y - p)), 6) + 0 AS mean_absolute_error, round(avg((y - p) *
   round(1 - var_pop(y - p) / var_pop(y), 6) + 0 AS explained_variance FROM p""",
 )
 def evaluation(d: Domain) -> DataFrame:
-    model, held_out = _fitted(d)
+    model, held_out, _ = _fitted(d)
     metrics = reg.evaluate(model.predict(held_out))
     return metrics.select(*[rounded(c).alias(c) for c in metrics.columns])
 
@@ -80,8 +83,7 @@ def evaluation(d: Domain) -> DataFrame:
 FROM training t LEFT JOIN fx ON t.station_id = fx.station_id, m WHERE t.date_key >= DATE '{SPLIT_DATE}'""",
 )
 def predictions(d: Domain) -> DataFrame:
-    model, _ = _fitted(d)
-    later = reg.training_rows(d.station_day, since=SPLIT_DATE)
+    model, _, later = _fitted(d)
     return model.predict(later).select(
         "station_id",
         "date_key",
