@@ -18,7 +18,9 @@ def nearby_pairs(
     An equi-join on grid cells followed by the exact distance. Points stay one row each
     and spread over ``salts`` sub-keys per cell, so a crowded cell is split between
     tasks; a place is repeated for the few cells it reaches and for every sub-key.
-    Which side is broadcast, if any, is left to the optimizer's size estimates.
+    No broadcast is forced: the optimizer may choose one for places under its threshold
+    (at most 9 x ``salts`` times that size after the expansion), and the adaptive planner
+    by the measured size otherwise; beyond that both sides are shuffled by cell.
     """
     grid = Grid(radius_m)
     place_columns = [F.col(c) for c in places.columns if c not in ("lat", "lng")]

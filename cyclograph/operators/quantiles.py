@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cyclograph.functions.casts import as_column
 from cyclograph.session import materialize
 
 # Distinct values of one group that a single task may hold.
@@ -15,7 +16,7 @@ VALUES_PER_TASK = 1_000_000
 
 def exact_quantile(
     df: DataFrame,
-    value: str,
+    value: Column | str,
     quantile: float,
     groups: Sequence[str] = (),
     values_per_task: int = VALUES_PER_TASK,
@@ -26,7 +27,7 @@ def exact_quantile(
     it is used only after a sketch has shown that no group has too many of them.
     """
     groups = list(groups)
-    rows = df.select(*groups, F.col(value).cast("double").alias("__v")).filter("__v IS NOT NULL")
+    rows = df.select(*groups, as_column(value).cast("double").alias("__v")).filter("__v IS NOT NULL")
     distinct = rows.groupBy(*groups).agg(F.approx_count_distinct("__v").alias("d"))
     widest = distinct.agg(F.coalesce(F.max("d"), F.lit(0))).first()[0]
     if widest <= values_per_task:
@@ -90,5 +91,5 @@ def quantile_over(df: DataFrame, value: str, quantile: float, groups: Sequence[s
     )
     same = [F.col(g).eqNullSafe(F.col(f"__g{i}")) for i, g in enumerate(groups)]
     if not same:
-        return df.crossJoin(F.broadcast(renamed))  # exactly one row
+        return df.withColumn(name, renamed.scalar())
     return df.join(renamed, _all(same), "left").drop(*[f"__g{i}" for i in range(len(same))])

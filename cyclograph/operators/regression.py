@@ -150,8 +150,8 @@ def evaluate(predictions: DataFrame, label: str = LABEL, predicted: str = "predi
         (1 - F.sum(F.col("e") * F.col("e")) / F.nullif(F.count(F.lit(1)) * F.var_pop("y"), F.lit(0.0))).alias("r2_score"),
         (1 - F.var_pop("e") / F.nullif(F.var_pop("y"), F.lit(0.0))).alias("explained_variance"),
     )
-    median = exact_quantile(scored, "a", 0.5).withColumnRenamed("quantile_value", "median_absolute_error")
-    return metrics.crossJoin(F.broadcast(median)).select(  # one row each
+    median = exact_quantile(scored, "a", 0.5).scalar()
+    return metrics.withColumn("median_absolute_error", median).select(
         "mean_absolute_error",
         "mean_squared_error",
         "mean_squared_log_error",

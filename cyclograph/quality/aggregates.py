@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cyclograph.functions.casts import as_column
+from cyclograph.functions.casts import as_expression
 from cyclograph.operators.quantiles import exact_quantile
 from cyclograph.quality.core import (
     Check,
@@ -25,7 +25,7 @@ def _range_check(name, aggregate, column, min_value, max_value, group_by, row_co
     return aggregate_check(
         name,
         aggregate,
-        as_column(column),
+        as_expression(column),
         lambda figure: between(figure, min_value, max_value, strictly),
         group_by,
         row_condition,
@@ -35,7 +35,7 @@ def _range_check(name, aggregate, column, min_value, max_value, group_by, row_co
 
 def _distinct_check(name, column, accept, group_by, row_condition):
     # Distinct counts get their own job: sharing a pass would multiply every row.
-    return aggregate_check(name, F.count_distinct, as_column(column), accept, group_by, row_condition, fusible=False)
+    return aggregate_check(name, F.count_distinct, as_expression(column), accept, group_by, row_condition, fusible=False)
 
 
 def distinct_count_to_be_greater_than(column, value, group_by=None, row_condition: Condition = None) -> Check:
@@ -60,9 +60,9 @@ def distinct_count_to_equal_other_table(
     compare_row_condition: Condition = None,
 ) -> Check:
     return equal_expression(
-        F.count_distinct(as_column(column)),
+        F.count_distinct(as_expression(column)),
         compare,
-        F.count_distinct(as_column(compare_column or column)),
+        F.count_distinct(as_expression(compare_column or column)),
         row_condition=row_condition,
         compare_row_condition=compare_row_condition,
         name=f"distinct_count_equal_other_table_{column}",
@@ -78,7 +78,7 @@ def distinct_values_to_be_in_set(column, values: Sequence, row_condition: Condit
     """Distinct values outside the set; NULL is one of them."""
 
     def violations(df: DataFrame) -> DataFrame:
-        value = as_column(column)
+        value = as_expression(column)
         outside = ~F.coalesce(value.isin(list(values)), F.lit(False))
         return where(df, row_condition).filter(outside).select(value.alias("value_field")).distinct()
 
@@ -89,7 +89,7 @@ def distinct_values_to_contain_set(column, values: Sequence, row_condition: Cond
     """Members of the set that never occur."""
 
     def violations(df: DataFrame) -> DataFrame:
-        value = as_column(column)
+        value = as_expression(column)
         seen = where(df, row_condition).filter(value.isin(list(values))).select(value.alias("value_field")).distinct()
         return _members(df, values).join(seen, "value_field", "left_anti")
 
@@ -100,7 +100,7 @@ def distinct_values_to_equal_set(column, values: Sequence, row_condition: Condit
     """Values outside the set and members that never occur, side by side."""
 
     def violations(df: DataFrame) -> DataFrame:
-        seen = where(df, row_condition).select(as_column(column).alias("column_value")).distinct()
+        seen = where(df, row_condition).select(as_expression(column).alias("column_value")).distinct()
         both = seen.join(_members(df, values), F.col("column_value") == F.col("value_field"), "full")
         return both.filter("column_value IS NULL OR value_field IS NULL")
 
@@ -197,11 +197,11 @@ def column_quantile_values_to_be_between(
     def violations(df: DataFrame) -> DataFrame:
         scoped = where(df, row_condition)
         if approximate:
-            figures = scoped.groupBy(*keys).agg(
-                F.percentile_approx(column, F.lit(float(quantile)), F.lit(10_000)).alias("expression")
+            figures = scoped.groupBy(*map(as_expression, keys)).agg(
+                F.percentile_approx(as_expression(column), F.lit(float(quantile)), F.lit(10_000)).alias("expression")
             )
         else:
-            figures = exact_quantile(scoped, column, quantile, keys).withColumnRenamed("quantile_value", "expression")
+            figures = exact_quantile(scoped, as_expression(column), quantile, keys).withColumnRenamed("quantile_value", "expression")
         return figures.filter(is_violation(inside))
 
     return Check(f"quantile_between_{column}", violations)
@@ -222,7 +222,7 @@ def column_most_common_value_to_be_in_set(
     """The value ranked exactly ``top_n`` by frequency (ties by value) must be in the set; NULL passes."""
 
     def violations(df: DataFrame) -> DataFrame:
-        value = as_column(column) if data_type is None else as_column(column).cast(data_type)
+        value = as_expression(column) if data_type is None else as_expression(column).cast(data_type)
         counts = where(df, row_condition).groupBy(value.alias("value_field")).agg(F.count(F.lit(1)).alias("n"))
         order = [F.col("n").desc(), F.col("value_field").asc_nulls_last()]
         # Only the leading rows reach the window.

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cyclograph.functions.casts import as_column, as_expression
+from cyclograph.functions.casts import as_expression
 
 Condition = Column | str | None
 
@@ -101,7 +101,7 @@ def aggregate_check(
     keys = list(group_by or [])
 
     def violations(df: DataFrame) -> DataFrame:
-        figures = where(df, row_condition).groupBy(*keys).agg(aggregate(value).alias("expression"))
+        figures = where(df, row_condition).groupBy(*map(as_expression, keys)).agg(aggregate(value).alias("expression"))
         return figures.filter(is_violation(accept(F.col("expression"))))
 
     counter = None
@@ -124,7 +124,7 @@ def expression_is_true(
     def violations(df: DataFrame) -> DataFrame:
         scoped = where(df, row_condition)
         tested = truth_expression(expression)
-        shown = scoped.groupBy(*keys).agg(tested) if keys else scoped.select(tested)
+        shown = scoped.groupBy(*map(as_expression, keys)).agg(tested) if keys else scoped.select(tested)
         return shown.filter(f"NOT (expression {test_condition})")
 
     return Check(name, violations)
@@ -170,7 +170,7 @@ def equal_expression(
     other_keys = list(compare_group_by or keys)
 
     def aggregated(df, figure, condition, columns, label):
-        named = [as_column(c).alias(f"col_{i}") for i, c in enumerate(columns, start=1)]
+        named = [as_expression(c).alias(f"col_{i}") for i, c in enumerate(columns, start=1)]
         return where(df, condition).groupBy(*named).agg(as_expression(figure).alias(label))
 
     def violations(df: DataFrame) -> DataFrame:
@@ -180,7 +180,7 @@ def equal_expression(
         )
         shared = [f"col_{i}" for i in range(1, len(keys) + 1)]
         # Without keys both sides are a single row.
-        both = left.join(right, shared, "full") if shared else left.crossJoin(F.broadcast(right))
+        both = left.join(right, shared, "full") if shared else left.withColumn("compare_expression", right.scalar())
         gap = F.abs(F.coalesce("expression", F.lit(0)) - F.coalesce("compare_expression", F.lit(0)))
         measured = both.select(*shared, "expression", "compare_expression", gap.alias("expression_difference")).withColumn(
             "expression_difference_percent",
@@ -195,7 +195,7 @@ def equal_expression(
 
 def present(columns: Sequence[str], ignore_row_if: str) -> Column:
     """Rows to look at: skip those with all, or any, of the columns missing."""
-    missing = [as_column(c).isNull() for c in columns]
+    missing = [as_expression(c).isNull() for c in columns]
     skip = missing[0]
     for other in missing[1:]:
         if ignore_row_if == "all_values_are_missing":

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cyclograph.functions import calendar as cal
-from cyclograph.functions.casts import as_column, as_expression
+from cyclograph.functions.casts import as_expression
 from cyclograph.functions.numeric import safe_log
-from cyclograph.plans.calendar_tables import date_spine
+from cyclograph.plans.calendar_tables import bounds, date_spine
 from cyclograph.quality.core import Check, Condition, where
 
 EPOCH_START = "1970-01-01"
@@ -24,12 +24,13 @@ def within_n_stdevs(column: str, group_by: Sequence[str] | None = None, sigma_th
     keys = list(group_by or [])
 
     def violations(df: DataFrame) -> DataFrame:
-        sums = df.groupBy(*keys).agg(F.sum(column).alias(column))
-        spread = sums.agg(
-            F.avg(column).alias(f"{column}_average"), F.stddev_samp(column).alias(f"{column}_stddev")
+        sums = df.groupBy(*map(as_expression, keys)).agg(F.sum(as_expression(column)).alias(column))
+        spread = sums.agg(F.struct(F.avg(column).alias("average"), F.stddev_samp(column).alias("stddev"))).scalar()
+        placed = sums.withColumn("__spread", spread).select(
+            "*", F.col("__spread.average").alias(f"{column}_average"), F.col("__spread.stddev").alias(f"{column}_stddev")
         )
         sigma = (F.col(column) - F.col(f"{column}_average")) / F.nullif(F.col(f"{column}_stddev"), F.lit(0.0))
-        scored = sums.crossJoin(F.broadcast(spread)).withColumn(f"{column}_sigma", sigma)
+        scored = placed.drop("__spread").withColumn(f"{column}_sigma", sigma)
         return scored.filter(F.abs(f"{column}_sigma") > sigma_threshold)
 
     return Check(f"within_n_stdevs_{column}", violations)
@@ -58,13 +59,13 @@ def within_n_moving_stdevs(
     keys = list(group_by or [])
     upper = sigma_threshold_upper if sigma_threshold_upper else sigma_threshold
     lower = sigma_threshold_lower if sigma_threshold_lower else -sigma_threshold
-    metric = safe_log if take_logs else (lambda c: F.coalesce(as_column(c), F.lit(0)))
+    metric = safe_log if take_logs else (lambda c: F.coalesce(F.col(c), F.lit(0)))
 
     def violations(df: DataFrame) -> DataFrame:
         ordered = Window.partitionBy(*keys).orderBy("metric_period")
         trend = ordered.rowsBetween(-trend_periods, -1)
-        sums = df.groupBy(cal.truncate(date_column, period).alias("metric_period"), *keys).agg(
-            F.sum(column).alias("agg_metric_value")
+        sums = df.groupBy(cal.truncate(as_expression(date_column), period).alias("metric_period"), *map(as_expression, keys)).agg(
+            F.sum(as_expression(column)).alias("agg_metric_value")
         )
         tested = metric("agg_metric_value")
         if take_diffs:
@@ -111,22 +112,21 @@ def row_values_to_have_data_for_every_n_datepart(
 
     def violations(df: DataFrame) -> DataFrame:
         rows = where(df, row_condition)
-        start, end = F.min(F.to_date(date_column)), F.max(F.to_date(date_column))
+        start, end = F.min(F.to_date(as_expression(date_column))), F.max(F.to_date(as_expression(date_column)))
         if test_start_date and test_end_date:
-            limits = df.sparkSession.range(1).select(F.lit(1).alias("one"))
-            limits = limits.select(F.lit(test_start_date).alias("start"), F.lit(test_end_date).alias("end"))
+            limits = bounds(df.sparkSession, test_start_date, test_end_date)
         else:
             limits = rows.agg(
                 F.lit(test_start_date).alias("start") if test_start_date else start.alias("start"),
                 F.lit(test_end_date).alias("end") if test_end_date else end.alias("end"),
             )
         limits = limits.select(F.col("start").cast("timestamp"), F.col("end").cast("timestamp"))
-        spine, dates = date_spine(limits, date_part), rows.select(cal.truncate(date_column, date_part).alias(bucket))
+        spine, dates = date_spine(limits, date_part), rows.select(cal.truncate(as_expression(date_column), date_part).alias(bucket))
         if interval:
-            first = F.broadcast(limits.select(F.col("start").alias("__start")))  # one row
             into = cal.boundaries_between("__start", bucket, date_part) % interval
-            spine = spine.crossJoin(first).filter(into == 0).drop("__start")
-            dates = dates.distinct().crossJoin(first).select(cal.add_parts(bucket, -into, date_part).alias(bucket))
+            spine = spine.withColumn("__start", limits.select("start").scalar()).filter(into == 0).drop("__start")
+            started = dates.distinct().withColumn("__start", limits.select("start").scalar())
+            dates = started.select(cal.add_parts(bucket, -into, date_part).alias(bucket))
         missing = spine.join(dates.distinct(), bucket, "left_anti").select(
             bucket, F.lit(True).alias("is_missing"), F.lit(0).cast("bigint").alias("row_cnt")
         )
@@ -145,7 +145,7 @@ def row_values_to_have_recent_data(
     """The latest time that is not in the future must be recent; no rows at all fails."""
 
     def violations(df: DataFrame) -> DataFrame:
-        moment = F.col(column).cast("timestamp")
+        moment = as_expression(column).cast("timestamp")
         rows = where(df, row_condition).filter(moment <= cal.now(as_of=as_of).cast("timestamp"))
         latest = rows.agg(F.max(moment).alias("max_timestamp"))
         known = F.coalesce("max_timestamp", F.lit(EPOCH_START).cast("timestamp"))
@@ -165,9 +165,9 @@ def grouped_row_values_to_have_recent_data(
     """Groups whose latest time is too old; groups with no qualifying row do not appear."""
 
     def violations(df: DataFrame) -> DataFrame:
-        moment = F.col(column).cast("timestamp")
+        moment = as_expression(column).cast("timestamp")
         rows = where(df, row_condition).filter(moment <= cal.now(as_of=as_of).cast("timestamp"))
-        latest = rows.groupBy(*group_by).agg(F.max(moment).alias("latest_timestamp_column"))
+        latest = rows.groupBy(*map(as_expression, group_by)).agg(F.max(moment).alias("latest_timestamp_column"))
         return latest.filter(F.col("latest_timestamp_column") < _cutoff(datepart, interval, as_of))
 
     return Check(f"grouped_recent_data_{column}", violations)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cyclograph.functions.casts import as_column
+from cyclograph.functions.casts import as_expression
 from cyclograph.quality.core import (
     Check,
     Condition,
@@ -21,12 +21,12 @@ from cyclograph.quality.core import (
 
 
 def pair_values_A_to_be_greater_than_B(column_a, column_b, or_equal: bool = False, row_condition: Condition = None) -> Check:
-    a, b = as_column(column_a), as_column(column_b)
+    a, b = as_expression(column_a), as_expression(column_b)
     return row_check(f"pair_greater_{column_a}_{column_b}", a >= b if or_equal else a > b, row_condition)
 
 
 def pair_values_to_be_equal(column_a, column_b, row_condition: Condition = None) -> Check:
-    return row_check(f"pair_equal_{column_a}_{column_b}", as_column(column_a) == as_column(column_b), row_condition)
+    return row_check(f"pair_equal_{column_a}_{column_b}", as_expression(column_a) == as_expression(column_b), row_condition)
 
 
 def pair_values_to_be_in_set(column_a, column_b, pairs: Sequence[Sequence], row_condition: Condition = None) -> Check:
@@ -35,7 +35,7 @@ def pair_values_to_be_in_set(column_a, column_b, pairs: Sequence[Sequence], row_
     for pair in pairs:
         if len(pair) != 2:
             raise ValueError(f"expected pairs of two values, got {pair!r}")
-        allowed = allowed | ((as_column(column_a) == F.lit(pair[0])) & (as_column(column_b) == F.lit(pair[1])))
+        allowed = allowed | ((as_expression(column_a) == F.lit(pair[0])) & (as_expression(column_b) == F.lit(pair[1])))
     return row_check(f"pair_in_set_{column_a}_{column_b}", allowed, row_condition)
 
 
@@ -49,7 +49,7 @@ def compound_columns_to_be_unique(
 
     def violations(df: DataFrame) -> DataFrame:
         rows = where(df, row_condition).filter(considered)
-        return rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("n_records")).filter("n_records > 1")
+        return rows.groupBy(*map(as_expression, columns)).agg(F.count(F.lit(1)).alias("n_records")).filter("n_records > 1")
 
     return Check(f"compound_unique_{'_'.join(columns)}", violations)
 
@@ -69,12 +69,12 @@ def multicolumn_sum_to_equal(
     keys = list(group_by or [])
 
     def compare(df: DataFrame) -> DataFrame:
-        total = F.sum(as_column(columns[0]))
+        total = F.sum(as_expression(columns[0]))
         for column in columns[1:]:
-            total = total + F.sum(as_column(column))
-        target = F.lit(sum_total) if fixed else F.sum(as_column(sum_total))
+            total = total + F.sum(as_expression(column))
+        target = F.lit(sum_total) if fixed else F.sum(as_expression(sum_total))
         same = total == target if tolerance is None else F.abs(total - target) <= tolerance
-        return where(df, row_condition).groupBy(*keys).agg(same.alias("expression"))
+        return where(df, row_condition).groupBy(*map(as_expression, keys)).agg(same.alias("expression"))
 
     return Check(
         f"multicolumn_sum_{'_'.join(columns)}", lambda df: compare(df).filter(is_violation(F.col("expression")))
@@ -85,7 +85,7 @@ def select_column_values_to_be_unique_within_record(
     columns: Sequence[str], ignore_row_if: str = "all_values_are_missing", row_condition: Condition = None
 ) -> Check:
     """Fewer different non-NULL values than columns, so a partly NULL record fails by default."""
-    texts = F.array(*[as_column(c).cast("string") for c in columns])
+    texts = F.array(*[as_expression(c).cast("string") for c in columns])
     different = F.size(F.array_distinct(F.array_compact(texts)))
     bad = present(columns, ignore_row_if) & (different < len(columns))
     return bad_row_check(f"unique_within_record_{'_'.join(columns)}", bad, row_condition)

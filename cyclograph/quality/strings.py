@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cyclograph.functions.casts import as_column
+from cyclograph.functions.casts import as_expression
 from cyclograph.functions.text import matches_like, matches_regex
 from cyclograph.quality.core import Check, Condition, between, row_check
 
@@ -29,12 +29,12 @@ def _pattern_check(name: str, column, patterns, test: Callable[[str], Column], m
 def value_lengths_to_be_between(
     column, min_value=None, max_value=None, row_condition: Condition = None, strictly: bool = False
 ) -> Check:
-    length = F.char_length(as_column(column))
+    length = F.char_length(as_expression(column))
     return row_check(f"value_lengths_between_{column}", between(length, min_value, max_value, strictly), row_condition)
 
 
 def value_lengths_to_equal(column, value: int, row_condition: Condition = None) -> Check:
-    return row_check(f"value_lengths_equal_{column}", F.char_length(as_column(column)) == value, row_condition)
+    return row_check(f"value_lengths_equal_{column}", F.char_length(as_expression(column)) == value, row_condition)
 
 
 def match_like_pattern(column, pattern: str, row_condition: Condition = None) -> Check:

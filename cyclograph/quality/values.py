@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cyclograph.functions.casts import as_column
+from cyclograph.functions.casts import as_expression
 from cyclograph.operators.ordered import PREVIOUS, breaks_in_order
 from cyclograph.quality.aggregates import distinct_values_to_be_in_set
 from cyclograph.quality.core import Check, Condition, bad_row_check, between, row_check, where
@@ -18,7 +18,7 @@ def values_to_be_between(
     column, min_value=None, max_value=None, row_condition: Condition = None, strictly: bool = False
 ) -> Check:
     return row_check(
-        f"values_between_{column}", between(as_column(column), min_value, max_value, strictly), row_condition
+        f"values_between_{column}", between(as_expression(column), min_value, max_value, strictly), row_condition
     )
 
 
@@ -77,13 +77,13 @@ def values_to_be_decreasing(
 
 def values_to_be_in_set(column, values: Sequence, row_condition: Condition = None) -> Check:
     """NULL is outside every set."""
-    outside = ~F.coalesce(as_column(column).isin(list(values)), F.lit(False))
+    outside = ~F.coalesce(as_expression(column).isin(list(values)), F.lit(False))
     return bad_row_check(f"values_in_set_{column}", outside, row_condition)
 
 
 def values_to_not_be_in_set(column, values: Sequence, row_condition: Condition = None) -> Check:
     """One violation per row, however often the set repeats the value; NULL passes."""
-    return bad_row_check(f"values_not_in_set_{column}", as_column(column).isin(list(values)), row_condition)
+    return bad_row_check(f"values_not_in_set_{column}", as_expression(column).isin(list(values)), row_condition)
 
 
 def values_to_be_in_type_list(column: str, types: Sequence[str]) -> Check:
@@ -106,11 +106,11 @@ def values_to_be_of_type(column: str, column_type: str) -> Check:
 
 
 def values_to_be_null(column, row_condition: Condition = None) -> Check:
-    return row_check(f"values_null_{column}", as_column(column).isNull(), row_condition)
+    return row_check(f"values_null_{column}", as_expression(column).isNull(), row_condition)
 
 
 def values_to_not_be_null(column, row_condition: Condition = None) -> Check:
-    return row_check(f"values_not_null_{column}", as_column(column).isNotNull(), row_condition)
+    return row_check(f"values_not_null_{column}", as_expression(column).isNotNull(), row_condition)
 
 
 def values_to_be_unique(column: str, row_condition: Condition = None) -> Check:
@@ -124,7 +124,7 @@ def values_to_have_consistent_casing(column, display_inconsistent_columns: bool
     """Values that differ only in case. The summary form also fails on a NULL value."""
 
     def violations(df: DataFrame) -> DataFrame:
-        distinct = df.select(as_column(column).alias("v")).distinct()
+        distinct = df.select(as_expression(column).alias("v")).distinct()
         if display_inconsistent_columns:
             return (
                 distinct.groupBy(F.lower("v").alias("inconsistent_columns"))
@@ -165,8 +165,8 @@ def relationships(column: str, to: DataFrame, field: str, row_condition: Conditi
     def violations(df: DataFrame) -> DataFrame:
         children = (
             where(df, row_condition)
-            .filter(as_column(column).isNotNull())
-            .groupBy(as_column(column).alias("value_field"))
+            .filter(as_expression(column).isNotNull())
+            .groupBy(as_expression(column).alias("value_field"))
             .agg(F.count(F.lit(1)).alias("n_records"))
         )
         return children.join(to.select(F.col(field).alias("value_field")), "value_field", "left_anti")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cyclograph.functions import numeric, text
 from cyclograph.operators.correlation import scoped_correlation
 from cyclograph.operators.nearby import nearby_counts
 from cyclograph.operators.quantiles import exact_quantile, quantile_over
@@ -123,6 +124,31 @@ def distinct_and_stdev(d: Domain) -> DataFrame:
     )
 
 
+@register(
+    "sf_scalar_functions",
+    """SELECT o_orderkey, upper(trim(p)) AS normal, o_orderstatus || '|' || nullif(p, ' 5-low ') AS key, split_part(o_orderpriority, '-', 2) AS part,
+  round(coalesce(ln(nullif(o_orderkey % 4, 0)), 0), 6) AS log, md5(CAST(o_custkey AS VARCHAR)) AS digest, (o_orderkey - 50) % 7 AS remainder,
+  length(o_orderpriority) AS size, greatest(o_orderkey, o_custkey) AS larger, least(o_orderkey, o_custkey) AS smaller,
+  CASE WHEN regexp_matches(o_orderpriority, '(?i)[a-m]') THEN length(regexp_extract(o_orderpriority, '^(.*?)(?i:[a-m])', 1)) + 1 ELSE 0 END AS first_letter
+FROM (SELECT *, concat(' ', lower(o_orderpriority), ' ') AS p FROM orders)""",
+)
+def scalar_functions(d: Domain) -> DataFrame:
+    padded = d.table("orders").withColumn("p", F.concat(F.lit(" "), F.lower("o_orderpriority"), F.lit(" ")))
+    return padded.select(
+        "o_orderkey",
+        text.normalized("p").alias("normal"),
+        text.composite_key("o_orderstatus", F.nullif("p", F.lit(" 5-low "))).alias("key"),
+        text.key_part("o_orderpriority", 2, "-").alias("part"),
+        rounded(numeric.safe_log(F.col("o_orderkey") % 4)).alias("log"),
+        text.digest("o_custkey").alias("digest"),
+        numeric.remainder(F.col("o_orderkey") - 50, 7).alias("remainder"),
+        F.char_length("o_orderpriority").alias("size"),
+        F.greatest("o_orderkey", "o_custkey").alias("larger"),
+        F.least("o_orderkey", "o_custkey").alias("smaller"),
+        text.regex_position("o_orderpriority", "[A-M]", flags="i").alias("first_letter"),
+    )
+
+
 @register(
     "st2_st3_replicated_unpivot",
     """SELECT f.factor, u.name, CAST(sum(u.v) AS BIGINT) AS total FROM (

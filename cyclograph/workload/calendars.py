@@ -169,6 +169,21 @@ def spines(d: Domain) -> DataFrame:
     return spine(orders, "month").unionByName(spine(events, "hour"))
 
 
+@register(
+    "cal19_cal31_last_days",
+    """SELECT d AS date_day, count(event_id) AS n FROM (
+  SELECT CAST(unnest(generate_series(date_trunc('day', max(ts)) - INTERVAL 9 DAY, date_trunc('day', max(ts)) + INTERVAL 3 DAY, INTERVAL 1 DAY)) AS TIMESTAMP) AS d FROM events)
+LEFT JOIN events ON CAST(ts AS DATE) = CAST(d AS DATE) GROUP BY ALL""",
+)
+def last_days(d: Domain) -> DataFrame:
+    """Events per day of the twelve days up to three days after the last event, empty days included."""
+    events = d.table("events")
+    as_of = d.latest(events, "ts") + F.expr("INTERVAL 3 DAYS")
+    days = tables.base_dates(d.spark, n_parts=12, as_of=as_of)
+    counts = events.groupBy(cal.truncate("ts", "day").alias("date_day")).agg(F.count(F.lit(1)).alias("n"))
+    return days.join(counts, "date_day", "left").select("date_day", F.coalesce("n", F.lit(0)).alias("n"))
+
+
 @register(
     "cal37_ag9_jn4_project_dates",
     """SELECT d AS date_key, year(d) AS year, month(d) AS month, day(d) AS day, dayofweek(d) + 1 AS day_of_week, dayname(d) AS day_name,

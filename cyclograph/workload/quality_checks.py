@@ -363,7 +363,7 @@ def _(d: Domain) -> DataFrame:
     )
     listed = q.values_to_have_consistent_casing("v", display_inconsistent_columns=True)(mixed)
     summary = q.values_to_have_consistent_casing("v")(mixed).select("set_count")
-    return listed.crossJoin(F.broadcast(summary))  # the summary is one row
+    return listed.withColumn("set_count", summary.scalar())
 
 
 # --- several columns ---------------------------------------------------------------
