@@ -1,7 +1,8 @@
 """Building the whole model: every table is written once, later ones read what was written.
 
-Layers are folders: ``staging`` exists only as views, ``mart`` holds tables and
-``observability`` the outcomes of the checks.
+Layers are folders. Staged trips and station status remain views; staged incidents are
+written, because three tables need their de-duplicated rows. ``mart`` holds the tables
+and ``observability`` the outcomes of the checks.
 """
 
 from __future__ import annotations
@@ -58,22 +59,24 @@ class ModelBuild:
         self.tables[name] = self.spark.read.schema(df.schema).parquet(self.path(name))
         return self.tables[name]
 
+    def _staged(self, name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").parquet(self.path(name, "staging"))
+        return self.spark.read.schema(df.schema).parquet(self.path(name, "staging"))
+
     def run(self, landed: Landed) -> dict[str, DataFrame]:
         """All tables in order of dependence."""
-        staged_incidents = staging.stage_incidents(landed.incidents, self.first_year)
+        staged_incidents = self._staged("incidents", staging.stage_incidents(landed.incidents, self.first_year))
         staged_trips = staging.stage_trips(landed.trips)
 
         incidents = self._store("incidents", marts.incident_facts(staged_incidents), "date_key", ("community_area_id",))
         trips = self._store("trips", marts.trip_facts(staged_trips), "date_key", ("start_station_id",))
-        # The facts carry everything the dimensions need; only incidents without an id are
-        # missing from them, and those never reach a mart.
-        self._store("incident_types", marts.incident_types(incidents))
+        self._store("incident_types", marts.incident_types(staged_incidents))
         self._store("areas", marts.areas(landed.areas))
         stations = self._store("stations", marts.stations(trips))
         if landed.station_status is not None:
             staged_status = staging.stage_station_status(landed.station_status)
             self._store("station_reads", marts.station_read_facts(staged_status), "date_key", ("station_id",))
-        self._store("dates", project_dates(bounds_of((incidents, "occurred_at"), (trips, "started_at"))))
+        self._store("dates", project_dates(bounds_of((staged_incidents, "occurred_at"), (trips, "started_at"))))
 
         mart = self._store("station_day", marts.station_day(trips, stations, incidents), "date_key", ("station_id",))
         self._store("correlation", scoped_correlation(mart))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -26,12 +27,14 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a shared folder")
-    folder = tempfile.mkdtemp(prefix="cyclograph-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
+
+
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="cyclograph-")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

@@ -101,11 +101,10 @@ def test_quantile_routes_agree(spark, quantile, groups):
     )
     expected = rows.groupBy(*groups).agg(F.percentile("v", F.lit(quantile)).alias("q"))
     found = quantiles.exact_quantile(rows, "v", quantile, groups, values_per_task=10)
-    key = lambda df: sorted((tuple(r[:-1]), round(r[-1], 9)) for r in map(tuple, df.collect()))
-    assert [(str(a), b) for a, b in key_safe(found)] == [(str(a), b) for a, b in key_safe(expected)]
+    assert by_group(found) == by_group(expected)
 
 
-def key_safe(df):
+def by_group(df):
     return sorted(((tuple(r)[:-1], round(r[-1], 9)) for r in df.collect()), key=repr)
 
 
