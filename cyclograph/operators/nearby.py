@@ -17,10 +17,13 @@ def nearby_pairs(
 
     An equi-join on grid cells followed by the exact distance. Points stay one row each
     and spread over ``salts`` sub-keys per cell, so a crowded cell is split between
-    tasks; a place is repeated for the few cells it reaches and for every sub-key.
+    tasks - also one crowded position, if the points carry an id. A place is repeated
+    for the few cells it reaches and for every sub-key.
+
     No broadcast is forced: the optimizer may choose one for places under its threshold
     (at most 9 x ``salts`` times that size after the expansion), and the adaptive planner
-    by the measured size otherwise; beyond that both sides are shuffled by cell.
+    by the measured size otherwise; points are not shuffled then. Beyond that both sides
+    are shuffled by cell, and adaptive skew handling splits what salting left uneven.
     """
     grid = Grid(radius_m)
     place_columns = [F.col(c) for c in places.columns if c not in ("lat", "lng")]
@@ -31,11 +34,12 @@ def nearby_pairs(
         .withColumn("__cell", F.explode(grid.cells_touched(F.col("__lat"), F.col("__lng"), F.col("__band"))))
         .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     )
+    # The salt is a digest of the whole row: unlike a random number, a re-run task repeats it.
     keyed = (
         points.filter("lat IS NOT NULL AND lng IS NOT NULL")
         .withColumn("__band", grid.band(F.col("lat")))
         .withColumn("__cell", grid.cell(F.col("lng"), F.col("__band")))
-        .withColumn("__salt", F.pmod(F.xxhash64(*[c for c in points.columns]), F.lit(salts)).cast("int"))
+        .withColumn("__salt", F.pmod(F.xxhash64(*points.columns), F.lit(salts)).cast("int"))
     )
     near = haversine_m(F.col("__lat"), F.col("__lng"), F.col("lat"), F.col("lng")) <= radius_m
     return (
@@ -54,17 +58,15 @@ def nearby_counts(
     lookback_days: int = 0,
     salts: int = SALTS,
 ) -> DataFrame:
-    """(place_id, date, n): points on that date, or in the ``lookback_days`` before it, too."""
-    # Positions repeat (addresses are published per block), so equal points are counted first.
-    counted = (
-        points.filter(F.col("lat").isNotNull() & F.col("lng").isNotNull() & F.col(date).isNotNull())
-        .groupBy(date, "lat", "lng")
-        .agg(F.count(F.lit(1)).alias("__n"))
-    )
-    pairs = nearby_pairs(places.select(place_id, "lat", "lng"), counted, radius_m, salts)
-    if lookback_days:
-        reach = F.sequence(F.lit(0), F.lit(lookback_days))
-        pairs = pairs.withColumn("__ahead", F.explode(reach)).withColumn(
-            date, F.date_add(F.col(date), F.col("__ahead"))
-        )
-    return pairs.groupBy(place_id, date).agg(F.sum("__n").alias("n"))
+    """(place_id, date, n): points on that date, or in the ``lookback_days`` before it, too.
+
+    Pairs are counted on the map side first, so only (place, date) figures are shuffled.
+    """
+    dated = points.filter(F.col(date).isNotNull())
+    pairs = nearby_pairs(places.select(place_id, "lat", "lng"), dated, radius_m, salts)
+    counts = pairs.groupBy(place_id, date).agg(F.count(F.lit(1)).alias("n"))
+    if not lookback_days:
+        return counts
+    ahead = F.explode(F.sequence(F.lit(0), F.lit(lookback_days))).alias("__ahead")
+    moved = counts.select(place_id, date, "n", ahead).withColumn(date, F.date_add(F.col(date), F.col("__ahead")))
+    return moved.groupBy(place_id, date).agg(F.sum("n").alias("n"))

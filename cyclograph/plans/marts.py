@@ -117,7 +117,9 @@ def station_day(
     Both inputs of the last join hold at most one row per (station, day). Incidents are
     matched to stations, not to station-days, so trips never multiply incidents.
     """
-    points = incidents.select("date_key", F.col("latitude").alias("lat"), F.col("longitude").alias("lng"))
+    points = incidents.select(
+        "crime_id", "date_key", F.col("latitude").alias("lat"), F.col("longitude").alias("lng")
+    )
     near = nearby_counts(station_dim, points, "station_id", "date_key", radius_m, lookback_days)
     return (
         trips_per_station_day(trips)

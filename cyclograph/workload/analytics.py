@@ -10,7 +10,6 @@ from cyclograph.operators.correlation import scoped_correlation
 from cyclograph.operators.nearby import nearby_counts
 from cyclograph.operators.quantiles import exact_quantile, quantile_over
 from cyclograph.plans import dashboards, marts
-from cyclograph.plans.calendar_tables import bounds_of, date_spine
 from cyclograph.sources import fixtures
 from cyclograph.workload.ctes import HAVERSINE
 from cyclograph.workload.registry import Domain, register, rounded
@@ -29,7 +28,7 @@ def trips_per_station_day(d: Domain) -> DataFrame:
 ON i.latitude IS NOT NULL AND i.longitude IS NOT NULL AND {DISTANCE} <= 900 GROUP BY ALL""",
 )
 def nearby_incidents(d: Domain) -> DataFrame:
-    points = d.incidents.select("date_key", F.col("latitude").alias("lat"), F.col("longitude").alias("lng"))
+    points = d.incidents.select("crime_id", "date_key", F.col("latitude").alias("lat"), F.col("longitude").alias("lng"))
     return nearby_counts(d.stations, points, "station_id", "date_key", 900.0)
 
 
@@ -164,14 +163,13 @@ def replicated_unpivot(d: Domain) -> DataFrame:
 
 
 @register(
-    "jn10_days_without_trips",
-    """SELECT date_day FROM days WHERE date_day NOT IN (
-  SELECT CAST(started_at AS DATE) FROM trips WHERE start_station_id = '3' AND started_at IS NOT NULL)""",
+    "jn10_areas_without_incidents",
+    """SELECT community_area_id, community_area_name FROM areas WHERE community_area_id NOT IN (
+  SELECT community_area_id FROM incidents WHERE community_area_id IS NOT NULL)""",
 )
-def days_without_trips(d: Domain) -> DataFrame:
-    days = date_spine(bounds_of((d.table("orders"), "o_orderdate"))).select(F.to_date("date_day").alias("date_day"))
-    busy = d.trips.filter("start_station_id = '3'").select(F.to_date("started_at").alias("date_day")).distinct()
-    return days.join(busy, "date_day", "left_anti")
+def areas_without_incidents(d: Domain) -> DataFrame:
+    known = d.incidents.select("community_area_id").distinct()
+    return d.areas.join(known, "community_area_id", "left_anti")
 
 
 @register(

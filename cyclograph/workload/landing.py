@@ -39,7 +39,7 @@ def monthly_trip_files(d: Domain) -> DataFrame:
             "month": F.concat("source_month", F.lit("-trips")),
         }
     ).drop("source_month")
-    text.repartition("month").write.partitionBy("month").csv(folder, header=True)
+    text.hint("rebalance", F.col("month")).write.partitionBy("month").csv(folder, header=True)
     wanted = landing.select_months(landing.list_folder(d.spark, folder), first="199601", last="199712")
     return landing.read_trip_files(d.spark, wanted).select(
         "ride_id", "started_at", "ended_at", "start_station_id", "start_lat", "end_lng", "member_casual", "source_month"

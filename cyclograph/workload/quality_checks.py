@@ -582,30 +582,29 @@ def _(d: Domain) -> DataFrame:
 
 
 @register(
-    "dq72_data_for_every_day",
-    """SELECT CAST(d AS TIMESTAMP) AS date_day, true AS is_missing, 0::BIGINT AS row_cnt FROM (
-  SELECT unnest(generate_series(min(s), max(s) - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS d FROM (
-    SELECT CAST(started_at AS DATE) AS s FROM trips WHERE start_station_id = '5'))
-WHERE CAST(d AS DATE) NOT IN (SELECT CAST(started_at AS DATE) FROM trips WHERE start_station_id = '5')
-  AND dayofweek(d) <> 0""",
+    "dq72_data_for_every_hour",
+    """SELECT CAST(h AS TIMESTAMP) AS date_hour, true AS is_missing, 0::BIGINT AS row_cnt FROM (
+  SELECT unnest(generate_series(min(s)::TIMESTAMP, max(s)::TIMESTAMP - INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS h FROM (
+    SELECT CAST(started_at AS DATE) AS s FROM trips))
+WHERE h NOT IN (SELECT date_trunc('hour', started_at) FROM trips) AND dayofweek(h) <> 0""",
 )
 def _(d: Domain) -> DataFrame:
     return q.row_values_to_have_data_for_every_n_datepart(
-        "started_at", row_condition="start_station_id = '5'", exclusion_condition="dayofweek(date_day) <> 1"
+        "started_at", "hour", exclusion_condition="dayofweek(date_hour) <> 1"
     )(d.trips)
 
 
 @register(
-    "dq72_data_for_every_three_days",
-    """WITH t AS (SELECT CAST(started_at AS DATE) AS s FROM trips WHERE start_station_id = '5'),
-b AS (SELECT min(s) AS a, max(s) AS z FROM t)
-SELECT CAST(d AS TIMESTAMP) AS date_day, true AS is_missing, 0::BIGINT AS row_cnt
-FROM (SELECT unnest(generate_series(a, z - INTERVAL 1 DAY, INTERVAL 3 DAY)) AS d FROM b)
-WHERE CAST(d AS DATE) NOT IN (SELECT s - CAST((s - a) % 3 AS INT) FROM t, b)""",
+    "dq72_data_for_every_six_hours",
+    """WITH b AS (SELECT min(CAST(started_at AS DATE))::TIMESTAMP AS a, max(CAST(started_at AS DATE))::TIMESTAMP AS z
+  FROM trips WHERE member_casual = 'member')
+SELECT CAST(h AS TIMESTAMP) AS date_hour, true AS is_missing, 0::BIGINT AS row_cnt
+FROM (SELECT unnest(generate_series(a, z - INTERVAL 1 HOUR, INTERVAL 6 HOUR)) AS h FROM b)
+WHERE h NOT IN (SELECT time_bucket(INTERVAL 6 HOUR, started_at, a) FROM trips, b WHERE member_casual = 'member')""",
 )
 def _(d: Domain) -> DataFrame:
     return q.row_values_to_have_data_for_every_n_datepart(
-        "started_at", interval=3, row_condition="start_station_id = '5'"
+        "started_at", "hour", interval=6, row_condition="member_casual = 'member'"
     )(d.trips)
 
 
