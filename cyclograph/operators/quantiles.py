@@ -28,13 +28,19 @@ def exact_quantile(
     """
     groups = list(groups)
     rows = df.select(*groups, as_column(value).cast("double").alias("__v")).filter("__v IS NOT NULL")
-    distinct = rows.groupBy(*groups).agg(F.approx_count_distinct("__v").alias("d"))
-    widest = distinct.agg(F.coalesce(F.max("d"), F.lit(0))).first()[0]
-    if widest <= values_per_task:
+    if fits_in_tasks(rows, "__v", groups, values_per_task):
         return rows.groupBy(*groups).agg(F.percentile("__v", F.lit(float(quantile))).alias("quantile_value"))
     return _by_sorted_ranges(rows, quantile, groups)
 
 
+def fits_in_tasks(
+    df: DataFrame, value: str, groups: Sequence[str] = (), values_per_task: int = VALUES_PER_TASK
+) -> bool:
+    """Whether every group has few enough distinct values, judged by a mergeable sketch."""
+    distinct = df.groupBy(*groups).agg(F.approx_count_distinct(value).alias("d"))
+    return distinct.agg(F.coalesce(F.max("d"), F.lit(0))).first()[0] <= values_per_task
+
+
 def _by_sorted_ranges(rows: DataFrame, quantile: float, groups: list[str]) -> DataFrame:
     """Count equal values, sort them over all tasks, and look up the two wanted ranks.
 

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cyclograph.operators.quantiles import exact_quantile
+from cyclograph.operators.quantiles import exact_quantile, fits_in_tasks
 from cyclograph.session import materialize
 
 LABEL = "trip_count"
@@ -143,15 +143,20 @@ def evaluate(predictions: DataFrame, label: str = LABEL, predicted: str = "predi
         F.col(predicted).alias("p"),
     ).withColumns({"e": F.col("y") - F.col("p"), "a": F.abs(F.col("y") - F.col("p"))})
     log_error = F.log1p("y") - F.log1p(F.greatest(F.col("p"), F.lit(0.0)))
+    # The median joins the other metrics in one pass, unless its buffer could get too large.
+    one_pass = fits_in_tasks(scored, "a")
+    median = F.percentile("a", F.lit(0.5)) if one_pass else F.lit(None).cast("double")
     metrics = scored.agg(
+        median.alias("median_absolute_error"),
         F.avg("a").alias("mean_absolute_error"),
         F.avg(F.col("e") * F.col("e")).alias("mean_squared_error"),
         F.avg(log_error * log_error).alias("mean_squared_log_error"),
         (1 - F.sum(F.col("e") * F.col("e")) / F.nullif(F.count(F.lit(1)) * F.var_pop("y"), F.lit(0.0))).alias("r2_score"),
         (1 - F.var_pop("e") / F.nullif(F.var_pop("y"), F.lit(0.0))).alias("explained_variance"),
     )
-    median = exact_quantile(scored, "a", 0.5).scalar()
-    return metrics.withColumn("median_absolute_error", median).select(
+    if not one_pass:
+        metrics = metrics.withColumn("median_absolute_error", exact_quantile(scored, "a", 0.5).scalar())
+    return metrics.select(
         "mean_absolute_error",
         "mean_squared_error",
         "mean_squared_log_error",

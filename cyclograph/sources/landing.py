@@ -19,6 +19,7 @@ TRIP_SCHEMA = (
     " start_station_name string, start_station_id string, end_station_name string, end_station_id string,"
     " start_lat double, start_lng double, end_lat double, end_lng double, member_casual string"
 )
+OTHER_TIME_FORMATS = ("M/d/yyyy H:mm:ss", "M/d/yyyy H:mm")  # besides ISO
 AREA_SCHEMA = "community_area_id int, community_area_name string"
 
 # Incident columns that need coercion on landing.
@@ -78,10 +79,14 @@ def select_months(
     return [p for m, p in dated if (not first or m >= first) and (not last or m <= last)]
 
 
+def _lenient_time(text: Column) -> Column:
+    return F.coalesce(F.try_to_timestamp(text), *[F.try_to_timestamp(text, F.lit(p)) for p in OTHER_TIME_FORMATS])
+
+
 def read_trip_files(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """Monthly CSV files as one table. Unreadable times become NULL; every row carries its month."""
     raw = spark.read.csv(paths, schema=TRIP_SCHEMA, header=True, enforceSchema=False)
-    times = {c: F.try_to_timestamp(F.col(c)) for c in ("started_at", "ended_at")}
+    times = {c: _lenient_time(F.col(c)) for c in ("started_at", "ended_at")}
     month = F.regexp_extract(F.col("_metadata.file_path"), TRIP_FILE_PATTERN, 1)
     return raw.withColumn("source_month", month).withColumns(times)
 

@@ -15,16 +15,21 @@ STALE_AFTER_SECONDS = 3600
 FLAGS = ("is_installed", "is_renting", "is_returning")
 
 
-def topic_source(spark: SparkSession, servers: str, topic: str) -> DataFrame:
-    """Topic records from the earliest offset. Needs the Kafka connector on the class path."""
-    return (
+def topic_source(spark: SparkSession, servers: str, topic: str, records_per_batch: int | None = None) -> DataFrame:
+    """Topic records from the earliest offset. Needs the Kafka connector on the class path.
+
+    Limit the records per batch when a large backlog has to be drained.
+    """
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
         .option("failOnDataLoss", "false")
-        .load()
     )
+    if records_per_batch:
+        reader = reader.option("maxOffsetsPerTrigger", records_per_batch)
+    return reader.load()
 
 
 def file_source(spark: SparkSession, path: str, schema, files_per_batch: int | None = None) -> DataFrame:

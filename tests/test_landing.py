@@ -29,13 +29,14 @@ def test_trip_files(spark, tmp_path):
     header = "ride_id,rideable_type,started_at,ended_at,start_station_name,start_station_id,end_station_name,end_station_id,start_lat,start_lng,end_lat,end_lng,member_casual"
     (tmp_path / "202401-trips.csv").write_text(
         f"{header}\nr1,classic,2024-01-05 10:00:00,2024-01-05 10:09:30,A,007,B,x-1,41.9,-87.6,41.8,-87.7,member\n"
-        "r2,electric,not a time,2024-01-05 10:00:00,,,,,,,,,casual\n"
+        "r2,electric,not a time,1/5/2024 9:05,,,,,,,,,casual\n"
     )
     (tmp_path / "202402-trips.csv").write_text(f"{header}\nr3,classic,2024-02-01 00:00:00.250,2024-02-01 00:01:00,,,,,,,,,member\n")
     paths = landing.select_months(landing.list_folder(spark, str(tmp_path)))
     rows = {r["ride_id"]: r for r in landing.read_trip_files(spark, paths).collect()}
     assert rows["r1"]["start_station_id"] == "007" and rows["r1"]["source_month"] == "202401"
     assert rows["r2"]["started_at"] is None and rows["r2"]["start_lat"] is None
+    assert str(rows["r2"]["ended_at"]) == "2024-01-05 09:05:00"
     assert rows["r3"]["source_month"] == "202402" and rows["r3"]["started_at"].microsecond == 250000
     facts = marts.trip_facts(staging.stage_trips(landing.read_trip_files(spark, paths)))
     assert {r["ride_id"]: r["trip_duration_seconds"] for r in facts.collect()} == {"r1": 570, "r3": 59}
