@@ -130,6 +130,7 @@ def distinct_and_stdev(d: Domain) -> DataFrame:
   length(o_orderpriority) AS size, greatest(o_orderkey, o_custkey) AS larger, least(o_orderkey, o_custkey) AS smaller,
   CASE WHEN regexp_matches(o_orderpriority, '(?i)[a-m]') THEN length(regexp_extract(o_orderpriority, '^(.*?)(?i:[a-m])', 1)) + 1 ELSE 0 END AS first_letter
 FROM (SELECT *, concat(' ', lower(o_orderpriority), ' ') AS p FROM orders)""",
+    ints="size first_letter",
 )
 def scalar_functions(d: Domain) -> DataFrame:
     padded = d.table("orders").withColumn("p", F.concat(F.lit(" "), F.lower("o_orderpriority"), F.lit(" ")))
@@ -193,6 +194,7 @@ def top_types(d: Domain) -> DataFrame:
 @register(
     "q3_trips_by_hour",
     "SELECT hour(started_at) AS hour_of_day, count(*) AS trip_count FROM trips GROUP BY ALL",
+    ints="hour_of_day",
 )
 def trips_by_hour(d: Domain) -> DataFrame:
     return dashboards.trips_by_hour(d.trips)
@@ -204,6 +206,7 @@ def trips_by_hour(d: Domain) -> DataFrame:
   ORDER BY count(*) DESC, station_id NULLS LAST LIMIT 20)
 SELECT hour(started_at) AS hour_of_day, start_station_id AS station_id, count(*) AS trip_count FROM trips
 WHERE start_station_id IN (SELECT station_id FROM busy) GROUP BY ALL""",
+    ints="hour_of_day",
 )
 def busy_station_hours(d: Domain) -> DataFrame:
     return dashboards.busy_station_hours(d.trips)
@@ -224,6 +227,7 @@ def monthly_series(d: Domain) -> DataFrame:
     "q6_sf4_incidents_by_weekday_hour",
     """SELECT hour(occurred_at) AS hour_of_day, dayofweek(occurred_at) AS day_of_week, count(*) AS crime_count
 FROM incidents GROUP BY ALL""",
+    ints="hour_of_day day_of_week",
 )
 def weekday_hours(d: Domain) -> DataFrame:
     return dashboards.incidents_by_weekday_hour(d.incidents)

@@ -50,7 +50,7 @@ def _days(d: Domain) -> DataFrame:
     return tables.date_spine(limits).select(F.to_date("date_day").alias("date_day"))
 
 
-@register("cal30_date_dimension", DIMENSION_SQL)
+@register("cal30_date_dimension", DIMENSION_SQL, ints="day_of_week day_of_week_iso day_of_month day_of_year iso_week_of_year prior_year_iso_week_of_year month_of_year quarter_of_year year_number")
 def date_dimension(d: Domain) -> DataFrame:
     return tables.date_dimension(_days(d))
 
@@ -90,6 +90,7 @@ def localized_names(d: Domain) -> DataFrame:
   strftime(t - INTERVAL 1 MONTH, '%b') AS last_month_name, strftime(t + INTERVAL 1 MONTH, '%B') AS next_month_name,
   month(t - INTERVAL 1 MONTH) AS last_month_number, month(t + INTERVAL 1 MONTH) AS next_month_number
 FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS t FROM orders)""",
+    ints="last_month_number next_month_number",
 )
 def relative_dates(d: Domain) -> DataFrame:
     """Every order date once as the present."""
@@ -135,6 +136,7 @@ def periods_since(d: Domain) -> DataFrame:
   date_trunc('millisecond', ts) AS from_millis, CAST(date_trunc('day', ts + INTERVAL 12 HOUR) AS TIMESTAMP) AS rounded,
   minute(ts) AS minute, CAST(ts AS DATE) AS built
 FROM events""",
+    ints="minute",
 )
 def times(d: Domain) -> DataFrame:
     moment = F.col("ts").cast("timestamp")
@@ -191,6 +193,7 @@ def last_days(d: Domain) -> DataFrame:
 FROM (SELECT CAST(unnest(generate_series(CAST(min(a) AS DATE), CAST(max(b) AS DATE), INTERVAL 1 DAY)) AS DATE) AS d FROM (
   SELECT min(occurred_at) AS a, max(occurred_at) AS b FROM staged_incidents
   UNION ALL SELECT min(started_at), max(started_at) FROM staged_trips))""",
+    ints="year month day day_of_week",
 )
 def project_dates(d: Domain) -> DataFrame:
     limits = tables.bounds_of((d.staged_incidents, "occurred_at"), (d.staged_trips, "started_at"))
@@ -200,6 +203,7 @@ def project_dates(d: Domain) -> DataFrame:
 @register(
     "cal32_wn8_wn9_wn10_fiscal_year_dates",
     FISCAL_SQL.format(month=12, start=1) + "SELECT * FROM dated",
+    ints="fiscal_year_number fiscal_week_of_year",
 )
 def fiscal_year_dates(d: Domain) -> DataFrame:
     return tables.fiscal_year_dates(tables.date_dimension(_days(d)))
@@ -214,6 +218,7 @@ def fiscal_year_dates(d: Domain) -> DataFrame:
 SELECT date_day, fiscal_year_number, week_start_date, week_end_date, fiscal_week_of_year,
   dense_rank() OVER (PARTITION BY q * 3 + pq ORDER BY fiscal_week_of_year) AS fiscal_week_of_period,
   q * 3 + pq AS fiscal_period_number, q + 1 AS fiscal_quarter_number, pq AS fiscal_period_of_quarter FROM p""",
+    ints="fiscal_year_number fiscal_week_of_year fiscal_week_of_period",
 )
 def fiscal_periods(d: Domain) -> DataFrame:
     return tables.fiscal_periods(tables.date_dimension(_days(d)), year_end_month=1, week_start_day=2)
@@ -224,6 +229,7 @@ def fiscal_periods(d: Domain) -> DataFrame:
     FISCAL_SQL.format(month=12, start=1)
     + """SELECT fiscal_year_number, fiscal_week_of_year, count(*) AS trip_count
 FROM trips JOIN dated ON trips.date_key = dated.date_day GROUP BY ALL""",
+    ints="fiscal_year_number fiscal_week_of_year",
 )
 def trips_per_fiscal_week(d: Domain) -> DataFrame:
     fiscal = tables.fiscal_year_dates(tables.date_dimension(_days(d))).withColumnRenamed("date_day", "date_key")

@@ -180,6 +180,7 @@ def out_of_bounds(d: Domain) -> DataFrame:
     "snk1_snk2_verified_write",
     """SELECT year(date) AS year, count(*) AS n, count(latitude) AS located, true AS complete
 FROM clean_incidents GROUP BY ALL""",
+    ints="year",
 )
 def verified_write(d: Domain) -> DataFrame:
     path = new_folder(d.spark, "clean-incidents")

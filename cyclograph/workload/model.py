@@ -39,7 +39,7 @@ def _fitted(d: Domain) -> tuple[reg.FixedEffectModel, DataFrame, DataFrame]:
     return reg.fit(rows.filter(chosen)), rows.filter(~chosen), reg.training_rows(mart, since=SPLIT_DATE)
 
 
-@register("ml1_training_rows", f"SELECT * FROM training WHERE date_key < DATE '{SPLIT_DATE}'")
+@register("ml1_training_rows", f"SELECT * FROM training WHERE date_key < DATE '{SPLIT_DATE}'", ints="day_of_week month")
 def training_rows(d: Domain) -> DataFrame:
     return reg.training_rows(d.station_day, before=SPLIT_DATE)
 

@@ -10,7 +10,7 @@ from cyclograph.quality import suite
 from cyclograph.workload.registry import Domain, register, rounded
 
 
-def check(name: str, sql: str, table: str, *columns: str | tuple[str, int]):
+def check(name: str, sql: str, table: str, *columns: str | tuple[str, int], ints: str = ""):
     """Register ``check(table)`` reduced to the given columns (all of them by default).
 
     A pair names a column and the digits it is rounded to.
@@ -22,7 +22,7 @@ def check(name: str, sql: str, table: str, *columns: str | tuple[str, int]):
             shown = [c if isinstance(c, str) else rounded(*c).alias(c[0]) for c in columns]
             return bad.select(*shown) if shown else bad
 
-        register(name, sql)(query)
+        register(name, sql, ints)(query)
         return build
 
     return wrap
@@ -676,6 +676,7 @@ WHERE abs(a.e - b.e) / a.e > 0.01""",
     "col_1",
     ("expression", 2),
     "compare_expression",
+    ints="col_1",
 )
 def _(d):
     return q.table_aggregation_to_equal_other_table(

@@ -79,8 +79,11 @@ class Domain:
         return F.lit(df.agg(F.max(F.col(column).cast("timestamp")).cast("string")).first()[0]).cast("timestamp")
 
 
-def register(name: str, sql: str | None = None):
-    """Add a query. ``sql`` may start from the shared table expressions in ``ctes``."""
+def register(name: str, sql: str | None = None, ints: str = ""):
+    """Add a query. ``sql`` may start from the shared table expressions in ``ctes``.
+
+    ``ints`` names columns that are 32-bit in Spark but 64-bit in the SQL engine.
+    """
 
     def wrap(build: Callable[[Domain], DataFrame]):
         if name in QUERIES:
@@ -88,6 +91,9 @@ def register(name: str, sql: str | None = None):
         QUERIES[name] = lambda spark, folder: zoneless(build(Domain(spark, folder)))
         if sql is not None:
             SQL[name] = ctes.expand(sql)
+            if ints:
+                casts = ", ".join(f"CAST({c} AS INTEGER) AS {c}" for c in ints.split())
+                SQL[name] = f"SELECT * REPLACE ({casts}) FROM ({SQL[name]})"
         return build
 
     return wrap
