@@ -261,7 +261,7 @@ def test_build_and_contracts(spark, tmp_path):
     tables = model.run(landed)
     assert tables["predictions"].count() + tables["training"].count() == tables["station_day"].count()
     direct = marts.station_day(
-        staging.stage_trips(landed.trips),
+        marts.trip_facts(staging.stage_trips(landed.trips)),
         marts.stations(staging.stage_trips(landed.trips)),
         marts.incident_facts(staging.stage_incidents(landed.incidents, 2000)),
     )
