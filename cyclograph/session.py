@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,25 +20,42 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, for checkpoints and intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session may fall
-    back to a temporary folder.
+    The cluster names it in ``spark.checkpoint.dir``. Without that setting the session's
+    warehouse holds one work folder per application, for that is shared storage too.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a shared folder")
-    return _local_folder()
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    return f"{warehouse}/_work/{spark.sparkContext.applicationId}"
 
 
-@functools.cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="cyclograph-")
+_FOLDERS: list[str] = []
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder; ``remove_folders`` deletes it."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _FOLDERS.append(path)
+    return path
+
+
+def remove_folders(spark: SparkSession, since: int = 0) -> None:
+    """Delete the folders handed out, but for the first ``since`` of them."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while len(_FOLDERS) > since:
+        path = jvm.org.apache.hadoop.fs.Path(_FOLDERS.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
+@contextlib.contextmanager
+def work(spark: SparkSession):
+    """Folders made inside belong to the block and are gone after it, so read results before its end."""
+    before = len(_FOLDERS)
+    try:
+        yield
+    finally:
+        remove_folders(spark, before)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Landing rules, sinks, streaming with restart, and the whole build."""
 
 import json
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -234,19 +235,25 @@ def test_parse_and_staleness(spark):
 # --- session and build -------------------------------------------------------------
 
 
-def stub(master, **settings):
+def stub(**settings):
     """Just the parts of a session that the folder rule looks at."""
     conf = SimpleNamespace(get=lambda key, default=None: settings.get(key, default))
-    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(applicationId="app-1"))
 
 
 def test_shared_folder_follows_the_session():
-    cluster = stub("yarn", **{"spark.checkpoint.dir": "hdfs:///shared/"})
+    cluster = stub(**{"spark.checkpoint.dir": "hdfs:///shared/"})
     assert session.shared_folder(cluster) == "hdfs:///shared"
-    assert session.new_folder(cluster, "x").startswith("hdfs:///shared/x-")
-    assert session.shared_folder(stub("local[2]")) == session.shared_folder(stub("local[2]"))
-    with pytest.raises(ValueError):
-        session.shared_folder(stub("yarn"))
+    plain = stub(**{"spark.sql.warehouse.dir": "hdfs:///warehouse/"})
+    assert session.shared_folder(plain) == "hdfs:///warehouse/_work/app-1"
+
+
+def test_nothing_remains_after_a_run(spark):
+    with session.work(spark):
+        stored = session.materialize(spark.range(5), "run-test")
+        folder = Path(stored.inputFiles()[0].removeprefix("file://")).parent
+        assert stored.count() == 5 and folder.exists()
+    assert not folder.exists()
 
 
 def test_build_and_contracts(spark, tmp_path):
