@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cyclograph.llm import chat_format, decontamination, language_id, pii, url_filter
+from cyclograph.llm import chat_format, decontamination, language_id, mixing, pii, quality_rules, sharding, url_filter
+from cyclograph.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -147,3 +148,37 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
   sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
+
+
+@query
+def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in shards 0 to 7 of near equal bytes."""
+    placed = sharding.shard(table(spark, folder, "documents").select("doc_id", "text"), 8)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "virtual_slot",
+    )
+
+
+@query
+def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """How many words the mix takes from every document."""
+    documents = table(spark, folder, "documents").select("doc_id", "source", mixing.count_words("text").alias("size"))
+    mixed = mixing.mix(materialize(documents, "mix-documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+
+
+@query
+def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality features of every document and whether it is kept."""
+    judged = quality_rules.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "stratum", F.array_join("broken", ",").alias("broken"),
+    )

@@ -125,3 +125,14 @@ def words_of(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray = NOT_BLA
         value *= _powers(_PAGE_BASE, int(lengths.max()) // _PAGE + 1)[place // _PAGE]
     hashes = mixed(np.add.reduceat(value, first_byte) + lengths.astype(np.uint64))
     return Words(starts, ends, hashes, np.searchsorted(starts, offsets))
+
+
+def word_counts(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray = NOT_BLANK) -> np.ndarray:
+    """Number of words of each text."""
+    if not len(data):
+        return np.zeros(len(offsets) - 1, np.int64)
+    begins = inside[data]
+    before = np.concatenate([[False], begins[:-1]])
+    before[offsets[:-1][offsets[:-1] < len(data)]] = False
+    begins = np.concatenate([[0], np.cumsum(begins & ~before)])
+    return np.diff(begins[offsets])
