@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cyclograph.llm import chat_format, decontamination, language_id, mixing, pii, quality_rules, sharding, url_filter
+from cyclograph.llm import chat_format, decontamination, jaccard_join, language_id, mixing, pii, quality_rules, sharding, url_filter
 from cyclograph.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -182,3 +182,28 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "stratum", F.array_join("broken", ",").alias("broken"),
     )
+
+
+@query
+def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Class and number of links of every document."""
+    return jaccard_join.join_texts(table(spark, folder, "documents")).select("doc_id", "class_id", "n_links")
+
+
+SQL["op3_ngram_jaccard_join"] = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + k - 1], ' ') AS s
+  FROM (SELECT doc_id, w, least(5, len(w)) AS k, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS i FROM w WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 9 * c >= 4 * (x.n + y.n)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+)
+SELECT d.doc_id, r.class_id, coalesce(l.n_links, 0) AS n_links
+FROM documents d JOIN (SELECT a, min(b) AS class_id FROM reach GROUP BY a) r ON r.a = d.doc_id
+LEFT JOIN (SELECT a, count(*) AS n_links FROM links GROUP BY a) l ON l.a = d.doc_id
+"""
