@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cyclograph.llm import chat_format, decontamination, jaccard_join, language_id, mixing, pii, quality_rules, sharding, url_filter
+import corpus_pipeline
+from cyclograph.llm import chat_format, decontamination, jaccard_join, language_id, mixing, pii, quality_rules, sharding, substring_dedup, url_filter
 from cyclograph.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -207,3 +208,34 @@ SELECT d.doc_id, r.class_id, coalesce(l.n_links, 0) AS n_links
 FROM documents d JOIN (SELECT a, min(b) AS class_id FROM reach GROUP BY a) r ON r.a = d.doc_id
 LEFT JOIN (SELECT a, count(*) AS n_links FROM links GROUP BY a) l ON l.a = d.doc_id
 """
+
+
+@query
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What stays of every document once its repeated passages are gone."""
+    cleaned = substring_dedup.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    n_removed = F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return cleaned.select("doc_id", "n_words", n_removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+SQL["op5_substring_dedup"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 34], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)
+), repeated AS (SELECT s FROM windows GROUP BY s HAVING count(*) > 1),
+gone AS (
+  SELECT doc_id, list(DISTINCT p) AS p
+  FROM (SELECT doc_id, unnest(range(i, i + 35)) AS p FROM windows JOIN repeated USING (s)) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(p), 0) AS BIGINT) AS n_removed,
+  sha256(CASE WHEN p IS NULL THEN array_to_string(w, ' ') ELSE coalesce(array_to_string(
+    [w[x] FOR x IN range(1, len(w) + 1) IF NOT list_contains(p, x)], ' '), '') END) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id)
+"""
+
+
+@query
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """All stages of the corpus pipeline."""
+    return corpus_pipeline.run(spark, folder)
