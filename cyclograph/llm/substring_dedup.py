@@ -364,6 +364,6 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     new = ("n_words", "removed", "kept")
     names = [F.col(f"`{c}`") for c in documents.columns if c not in new]
     clean = arrow_udf(_clean, "struct<n_words: bigint, removed: array<struct<start: bigint, end: bigint>>, kept: string>")
-    joined = documents.select(*names, key.alias("key")).join(of_row, "key", "left")
+    joined = documents.select(*names, key.alias("__key")).join(of_row.withColumnRenamed("key", "__key"), "__key", "left")
     result = joined.select(*names, clean("text", "__masks").alias("__r"))
     return result.select(*names, *[F.col(f"__r.{c}").alias(c) for c in new])
