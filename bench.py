@@ -28,6 +28,7 @@ HEADLINES = {
     "fiscal_periods": "cal33_wn11_fiscal_periods",
     "station_dimension": "ag7_ag8_wn2_stations",
     "station_day_mart": "ag3_station_day",
+    "model_build": "dq_contract_outcomes",
     "correlation": "ag4_ag5_ag6_ag16_correlation",
     "regression_weights": "ml2_ml4_weights",
     "regression_evaluation": "ml3_evaluation",

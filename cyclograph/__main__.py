@@ -76,7 +76,7 @@ def parser() -> argparse.ArgumentParser:
         return sub
 
     job("clean-incidents", clean_incidents, "source", "target").add_argument(
-        "--files", type=int, default=sinks.DEFAULT_FILES, help="number of files; 0 lets Spark decide"
+        "--files", type=int, default=0, help="number of files; 0 lets Spark decide"
     )
     trips = job("load-trips", load_trips, "folder", "target")
     trips.add_argument("--month")

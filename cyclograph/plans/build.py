@@ -51,14 +51,19 @@ class ModelBuild:
     def path(self, name: str, layer: str = "mart") -> str:
         return f"{self.root}/{layer}/{name}"
 
-    def _store(self, name: str, df: DataFrame, partition: str | None = None, cluster: tuple[str, ...] = ()) -> DataFrame:
-        if partition:
-            sinks.write_partitioned(df, self.path(name), partition, cluster)
+    def _store(self, name: str, df: DataFrame, day: str | None = None, cluster: tuple[str, ...] = ()) -> DataFrame:
+        if day:
+            sinks.write_by_month(df, self.path(name), day, cluster)
+            self.tables[name] = sinks.read_by_month(self.spark, self.path(name), df.schema, day)
         else:
             df.write.mode("overwrite").parquet(self.path(name))
-        self.tables[name] = self.spark.read.schema(df.schema).parquet(self.path(name))
+            self.tables[name] = self.spark.read.schema(df.schema).parquet(self.path(name))
         return self.tables[name]
 
+    def days(self, name: str, first=None, last=None, day: str = "date_key") -> DataFrame:
+        """Rows of a stored table from one day to another, reading their months only."""
+        return sinks.read_by_month(self.spark, self.path(name), self.tables[name].schema, day, first, last)
+
     def _staged(self, name: str, df: DataFrame) -> DataFrame:
         df.write.mode("overwrite").parquet(self.path(name, "staging"))
         return self.spark.read.schema(df.schema).parquet(self.path(name, "staging"))

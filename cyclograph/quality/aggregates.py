@@ -201,7 +201,8 @@ def column_quantile_values_to_be_between(
                 F.percentile_approx(as_expression(column), F.lit(float(quantile)), F.lit(10_000)).alias("expression")
             )
         else:
-            figures = exact_quantile(scoped, as_expression(column), quantile, keys).withColumnRenamed("quantile_value", "expression")
+            figures = exact_quantile(scoped, as_expression(column), quantile, [as_expression(k) for k in keys])
+            figures = figures.withColumnsRenamed({"quantile_value": "expression"} | {f"__g{i}": k for i, k in enumerate(keys)})
         return figures.filter(is_violation(inside))
 
     return Check(f"quantile_between_{column}", violations)

@@ -9,14 +9,11 @@ from pyspark.sql import functions as F
 
 from cyclograph.operators.dedup import upsert
 
-DEFAULT_FILES = 8
 
-
-def write_files(df: DataFrame, path: str, files: int | None = DEFAULT_FILES) -> int:
+def write_files(df: DataFrame, path: str, files: int | None = None) -> int:
     """Overwrite ``path``; returns the number of rows, observed while writing.
 
-    ``files=None`` leaves the number of files to the adaptive rebalance, the right choice
-    for large tables.
+    The adaptive rebalance settles the number of files, unless ``files`` asks for one.
     """
     counted = Observation()
     observed = df.observe(counted, F.count(F.lit(1)).alias("rows"))
@@ -40,9 +37,35 @@ def write_partitioned(df: DataFrame, path: str, partition: str, cluster: Sequenc
     ready.write.mode("overwrite").partitionBy(partition).parquet(path)
 
 
-def write_partitioned_by_day(df: DataFrame, path: str, moment: str, cluster: Sequence[str] = ()) -> None:
-    """As ``write_partitioned``, for tables partitioned by the day of a timestamp."""
-    write_partitioned(df.withColumn(f"{moment}_day", F.to_date(moment)), path, f"{moment}_day", cluster)
+def month_of(day: Column | str) -> Column:
+    return F.date_format(day, "yyyy-MM")
+
+
+def write_by_month(df: DataFrame, path: str, day: str, cluster: Sequence[str] = ()) -> None:
+    """Month folders whose files are sorted by day, for tables that are read by day.
+
+    A month has few files, whatever the number of days, and the statistics of their row groups
+    let a reader skip the other days. ``day`` is a date or a timestamp.
+    """
+    column = f"{day}_month"
+    ready = df.withColumn(column, month_of(day)).hint("rebalance", F.col(column)).sortWithinPartitions(column, day, *cluster)
+    ready.write.mode("overwrite").partitionBy(column).parquet(path)
+
+
+def read_by_month(spark: SparkSession, path: str, schema, day: str, first=None, last=None) -> DataFrame:
+    """A table written by ``write_by_month``, whole or from day ``first`` to day ``last`` inclusive.
+
+    The range is put on the months too, so that other folders aren't opened.
+    """
+    column = f"{day}_month"
+    rows = spark.read.schema(schema.add(column, "string") if column not in schema.names else schema).parquet(path)
+    if first is not None:
+        start = F.lit(first).cast("date")
+        rows = rows.filter((F.col(column) >= month_of(start)) & (F.col(day) >= start))
+    if last is not None:
+        end = F.lit(last).cast("date")
+        rows = rows.filter((F.col(column) <= month_of(end)) & (F.col(day) < F.date_add(end, 1)))
+    return rows.drop(column)
 
 
 def replace_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
@@ -50,20 +73,64 @@ def replace_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> N
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
 
 
+COMPACTED = -1
+
+
 class BatchAppender:
-    """``foreachBatch`` target: each micro-batch owns one partition of the table, so a
-    replayed batch replaces itself. An empty batch has no partition and changes nothing."""
+    """``foreachBatch`` target: a folder for each day, and in it one for each micro-batch.
+
+    The day comes from the rows (column ``moment``), so a replayed batch meets and replaces its
+    own folders. An empty batch changes nothing. ``written`` counts the rows kept since the start.
+    ``compact`` later turns each finished day into a few files.
+    """
 
-    def __init__(self, path: str, also: str | None = None, **jdbc_options: str):
-        self.path = path
-        self.jdbc_table = also
-        self.jdbc_options = {"batchsize": "10000", **jdbc_options}
+    def __init__(self, path: str, moment: str = "kafka_timestamp"):
+        self.path, self.moment, self.written = path, moment, 0
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        replace_partitions(batch.withColumn("batch_id", F.lit(batch_id)), self.path, ["batch_id"])
-        if self.jdbc_table:
-            writer = batch.write.format("jdbc").options(**self.jdbc_options)
-            writer.option("dbtable", self.jdbc_table).mode("append").save()
+        if batch.isEmpty():
+            return
+        counted = Observation()
+        rows = batch.observe(counted, F.count(F.lit(1)).alias("rows"))
+        placed = rows.withColumns({"day": F.to_date(self.moment), "batch_id": F.lit(batch_id).cast("bigint")})
+        replace_partitions(placed.hint("rebalance", F.col("day")), self.path, ["day", "batch_id"])
+        self.written += counted.get["rows"]
+
+
+def compact(spark: SparkSession, path: str, before: str) -> list[str]:
+    """Merge the batches of each day earlier than ``before``; returns the days merged.
+
+    No batch that could still be replayed may hold rows of such a day. A day is first written
+    beside the table, then takes the old folder's place; a run that was cut short is finished
+    by the next one.
+    """
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path
+    files = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    aside = f"{path.rstrip('/')}_compacting"
+
+    def folders(base: str, prefix: str) -> list[str]:
+        if not files.exists(at(base)):
+            return []
+        return sorted(s.getPath().getName() for s in files.listStatus(at(base)) if s.getPath().getName().startswith(prefix))
+
+    def swap(day: str) -> None:
+        files.delete(at(f"{path}/{day}"), True)
+        files.mkdirs(at(f"{path}/{day}"))
+        files.rename(at(f"{aside}/{day}"), at(f"{path}/{day}/batch_id={COMPACTED}"))
+
+    for day in folders(aside, "day="):
+        if files.exists(at(f"{aside}/{day}/_SUCCESS")):
+            swap(day)
+        else:
+            files.delete(at(f"{aside}/{day}"), True)
+    merged = []
+    for day in folders(path, "day="):
+        if day.removeprefix("day=") < before and folders(f"{path}/{day}", "batch_id=") != [f"batch_id={COMPACTED}"]:
+            spark.read.parquet(f"{path}/{day}").drop("batch_id").hint("rebalance").write.parquet(f"{aside}/{day}")
+            swap(day)
+            merged.append(day.removeprefix("day="))
+    return merged
 
 
 RESULTS_JSON = (
@@ -94,9 +161,17 @@ def test_results(documents: DataFrame, body: str = "value", recorded_at: Column
     )
 
 
-def record_results(results: DataFrame, path: str) -> None:
-    """Re-recording an invocation replaces its earlier rows."""
+def record_results(results: DataFrame, path: str, invocations: Sequence[str] = ()) -> None:
+    """Re-recording an invocation replaces its earlier rows. An invocation of ``invocations`` that
+    has no rows any more loses its earlier ones too."""
     replace_partitions(results, path, ["invocation_id"])
+    spark = results.sparkSession
+    at, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    if invocations:
+        kept = {r[0] for r in results.filter(F.col("invocation_id").isin(list(invocations))).select("invocation_id").distinct().collect()}
+        for gone in set(invocations) - kept:
+            folder = at(f"{path}/invocation_id={gone}")
+            folder.getFileSystem(conf).delete(folder, True)
 
 
 def upsert_partitions(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cyclograph.sources.landing import STATION_SCHEMA
+from cyclograph.sources.sinks import BatchAppender
 
 TRIGGER_INTERVAL = "60 seconds"
 STALE_AFTER_SECONDS = 3600
@@ -89,6 +90,6 @@ def start(
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)).start()
 
 
-def has_new_data(query: StreamingQuery) -> bool:
-    """Whether any batch since the start brought rows."""
-    return any(progress["numInputRows"] > 0 for progress in query.recentProgress)
+def has_new_data(sink: BatchAppender) -> bool:
+    """Whether any batch since the start brought rows to the sink; rows read and dropped don't count."""
+    return sink.written > 0

@@ -218,19 +218,57 @@ def recorded_results(d: Domain) -> DataFrame:
 
 @register(
     "snk5_partitioned_mart",
-    """SELECT source_month, start_station_id, count(*) AS n, CAST(sum(trip_duration_seconds) AS BIGINT) AS seconds
-FROM trips WHERE source_month >= '2000' GROUP BY ALL""",
+    """SELECT date_key, start_station_id, count(*) AS n, CAST(sum(trip_duration_seconds) AS BIGINT) AS seconds
+FROM trips WHERE date_key BETWEEN DATE '1997-03-10' AND DATE '1998-06-20' GROUP BY ALL""",
 )
 def partitioned_mart(d: Domain) -> DataFrame:
-    """Written by month and clustered by station; the read prunes to the wanted months."""
+    """Written by month, sorted by day; read back from one day to another."""
     path = new_folder(d.spark, "trips-by-month")
-    sinks.write_partitioned(d.trips, path, "source_month", ["start_station_id"])
-    written = d.spark.read.schema(d.trips.schema).parquet(path).filter("source_month >= '2000'")
-    return written.groupBy("source_month", "start_station_id").agg(
+    sinks.write_by_month(d.trips, path, "date_key", ["start_station_id"])
+    written = sinks.read_by_month(d.spark, path, d.trips.schema, "date_key", "1997-03-10", "1998-06-20")
+    return written.groupBy("date_key", "start_station_id").agg(
         F.count(F.lit(1)).alias("n"), F.sum("trip_duration_seconds").alias("seconds")
     )
 
 
+@register(
+    "snk4_recorded_twice",
+    """SELECT CAST(user_id AS VARCHAR) AS invocation_id, event_id, value FROM events
+WHERE user_id % 5 <> 0 OR (user_id % 10 = 0 AND event_id % 2 = 0)""",
+)
+def recorded_twice(d: Domain) -> DataFrame:
+    """Results recorded, then some invocations again with fewer rows and some with none."""
+    path = new_folder(d.spark, "results")
+    rows = d.table("events").select(F.col("user_id").cast("string").alias("invocation_id"), "event_id", "value")
+    number = F.col("invocation_id").cast("long")
+    sinks.record_results(rows, path)
+    again = rows.filter((number % 10 == 0) & (F.col("event_id") % 2 == 0))
+    ids = [r[0] for r in rows.filter(number % 5 == 0).select("invocation_id").distinct().collect()]
+    sinks.record_results(again, path, ids)
+    kept = d.spark.read.schema(rows.schema).parquet(path)
+    return kept.select("invocation_id", "event_id", "value")
+
+
+@register(
+    "snk6_upsert_partitions",
+    """SELECT o_orderkey, o_orderpriority, CASE WHEN o_orderpriority = '1-URGENT' AND o_orderkey % 5 = 0 THEN 'X'
+  ELSE o_orderstatus END AS o_orderstatus, o_orderdate FROM orders
+UNION ALL SELECT -o_orderkey - 1, o_orderpriority, 'N', o_orderdate FROM orders WHERE o_orderpriority = '2-HIGH' AND o_orderkey % 7 = 0""",
+)
+def upserted_partitions(d: Domain) -> DataFrame:
+    """A stored table by priority, two of whose partitions take changes."""
+    path = new_folder(d.spark, "orders-by-priority")
+    current = d.table("orders").select("o_orderkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+    current.hint("rebalance", F.col("o_orderpriority")).write.partitionBy("o_orderpriority").parquet(path)
+    changed = current.filter("o_orderpriority = '1-URGENT' AND o_orderkey % 5 = 0").withColumn("o_orderstatus", F.lit("X"))
+    fresh = current.filter("o_orderpriority = '2-HIGH' AND o_orderkey % 7 = 0").withColumns(
+        {"o_orderkey": -F.col("o_orderkey") - 1, "o_orderstatus": F.lit("N")}
+    )
+    keys = ["o_orderkey", "o_orderpriority"]
+    sinks.upsert_partitions(d.spark, path, changed.unionByName(fresh), keys, "o_orderdate", "o_orderpriority")
+    return d.spark.read.schema(current.schema).parquet(path).select("o_orderkey", "o_orderpriority", "o_orderstatus", "o_orderdate")
+
+
 @register(
     "snk6_upsert",
     """SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,

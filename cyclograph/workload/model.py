@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cyclograph.operators import regression as reg
-from cyclograph.session import materialize
-from cyclograph.workload.registry import SPLIT_DATE, Domain, register, rounded
+from cyclograph.plans.build import Landed, ModelBuild
+from cyclograph.session import materialize, new_folder
+from cyclograph.sources import fixtures
+from cyclograph.workload.registry import FIRST_YEAR, SPLIT_DATE, Domain, register, rounded
 
 # Within-station moments, Cramer's rule for the three weights, station effects.
 FIT_SQL = f"""
@@ -92,3 +94,79 @@ def predictions(d: Domain) -> DataFrame:
         rounded("predicted_trip_count").alias("predicted_trip_count"),
         F.col("seen_station"),
     )
+
+
+def _built(d: Domain) -> ModelBuild:
+    """The whole model, from the landed tables to the predictions, stored table by table."""
+    model = ModelBuild(d.spark, new_folder(d.spark, "model"), FIRST_YEAR, SPLIT_DATE)
+    model.run(Landed(d.landed_incidents, d.landed_trips, fixtures.area_seed(d.spark, d.folder)))
+    return model
+
+
+@register(
+    "snk5_stored_station_day",
+    "SELECT * FROM station_day WHERE date_key BETWEEN DATE '1997-05-20' AND DATE '1999-02-10'",
+)
+def stored_station_day(d: Domain) -> DataFrame:
+    """A range of days of the mart as the model build stored it."""
+    return _built(d).days("station_day", "1997-05-20", "1999-02-10")
+
+
+def _contract_sql() -> str:
+    """One row for each contract of five tables: how many rows, or keys, break it."""
+
+    def where(name: str, table: str, condition: str) -> str:
+        return f"SELECT '{table}.{name}' AS test_name, count(*) AS failures FROM {table} WHERE {condition}"
+
+    def nulls(table: str, *columns: str) -> list[str]:
+        return [where(f"not_null_{c}", table, f"{c} IS NULL") for c in columns]
+
+    def outside(table: str, column: str, low: str, high: str) -> str:
+        return where(f"values_between_{column}", table, f"{column} NOT BETWEEN {low} AND {high}")
+
+    def repeated(table: str, column: str) -> str:
+        keys = f"SELECT {column} FROM {table} WHERE {column} IS NOT NULL GROUP BY {column} HAVING count(*) > 1"
+        return f"SELECT '{table}.unique_{column}' AS test_name, count(*) AS failures FROM ({keys})"
+
+    def orphans(table: str, column: str, parent: str, condition: str = "true") -> str:
+        return where(f"relationships_{column}", table, f"{column} IS NOT NULL AND {condition} AND {column} NOT IN ({parent})")
+
+    days = """SELECT CAST(unnest(generate_series(CAST(least(i.a, t.a) AS DATE), CAST(greatest(i.b, t.b) AS DATE), INTERVAL 1 DAY)) AS DATE)
+  FROM (SELECT min(occurred_at) AS a, max(occurred_at) AS b FROM staged_incidents) i, (SELECT min(started_at) AS a, max(started_at) AS b FROM trips) t"""
+    types = """SELECT primary_type || '|' || description FROM staged_incidents
+WHERE primary_type IS NOT NULL AND description IS NOT NULL"""
+    label, features = reg.LABEL, reg.FEATURES
+    parts = [
+        repeated("areas", "community_area_id"),
+        *nulls("areas", "community_area_id", "community_area_name"),
+        outside("areas", "community_area_id", "1", "77"),
+        repeated("incidents", "crime_id"),
+        *nulls("incidents", "crime_id", "date_key", "crime_type_key"),
+        orphans("incidents", "date_key", days),
+        orphans("incidents", "community_area_id", "SELECT community_area_id FROM areas", "community_area_id <> 0"),
+        orphans("incidents", "crime_type_key", types),
+        outside("incidents", "latitude", "41.64", "42.03"),
+        outside("incidents", "longitude", "-87.95", "-87.52"),
+        *nulls("trips", "ride_id", "started_at", "date_key"),
+        orphans("trips", "date_key", days),
+        *nulls("station_day", "station_id", "date_key", "trip_count", features[0]),
+        orphans("station_day", "date_key", days),
+        outside("station_day", "trip_count", "0", "10000"),
+        *[x.replace("FROM training WHERE", f"FROM training WHERE date_key < DATE '{SPLIT_DATE}' AND") for x in nulls("training", label, *features, "station_id")],
+        *[
+            outside("training", c, low, high).replace("FROM training WHERE", f"FROM training WHERE date_key < DATE '{SPLIT_DATE}' AND")
+            for c, low, high in ((label, "0", "10000"), ("day_of_week", "1", "7"), ("month", "1", "12"))
+        ],
+    ]
+    union = " UNION ALL ".join(parts)
+    return f"SELECT test_name, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status, failures FROM ({union})"
+
+
+@register("dq_contract_outcomes", _contract_sql())
+def contract_outcomes(d: Domain) -> DataFrame:
+    """What the model build's contracts found in five of its tables."""
+    model = _built(d)
+    found = model.check((FIRST_YEAR, FIRST_YEAR + 5))
+    table = F.substring_index("test_name", ".", 1)
+    rows = found.filter(table.isin("areas", "incidents", "trips", "station_day", "training"))
+    return rows.select("test_name", "status", F.col("failures").cast("bigint").alias("failures"))

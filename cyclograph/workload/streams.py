@@ -45,8 +45,12 @@ def _drained(d: Domain, status: DataFrame, label: str) -> DataFrame:
     base = new_folder(d.spark, label)
     query = live.start(status, sinks.BatchAppender(f"{base}/table"), f"{base}/offsets", once=True)
     query.awaitTermination()
-    stored = T.StructType([*status.schema.fields, T.StructField("batch_id", T.IntegerType())])
-    return d.spark.read.schema(stored).parquet(f"{base}/table").drop("batch_id")
+    return _stored(d, status, f"{base}/table")
+
+
+def _stored(d: Domain, status: DataFrame, path: str) -> DataFrame:
+    fields = [*status.schema.fields, T.StructField("day", T.DateType()), T.StructField("batch_id", T.LongType())]
+    return d.spark.read.schema(T.StructType(fields)).parquet(path).drop("day", "batch_id")
 
 
 @register("str1_src6_parse_messages", PARSED)
@@ -78,3 +82,23 @@ def deduplicated(d: Domain) -> DataFrame:
     status = live.drop_stale(live.parse_messages(twice), now=F.col("kafka_timestamp"))
     rows = _drained(d, live.once_per_message(status), "status-once")
     return rows.withColumnRenamed("last_reported", "reported_at").select(*SHOWN)
+
+
+@register("snk3_str4_replayed_and_compacted", PARSED)
+def replayed(d: Domain) -> DataFrame:
+    """Two runs of a stream, the second after a restart; its last batch delivered again; then
+    all days but the last compacted: each message is there once."""
+    base = new_folder(d.spark, "status-replayed")
+    messages = fixtures.status_messages(d.table("events"))
+    middle = "kafka_offset < 5"
+    for part in (middle, f"NOT ({middle})"):
+        rows = messages.withColumnRenamed("offset", "kafka_offset").filter(part).withColumnRenamed("kafka_offset", "offset")
+        rows.coalesce(1).write.mode("append").parquet(f"{base}/in")
+        stream = live.file_source(d.spark, f"{base}/in", messages.schema)
+        status = live.parse_messages(stream)
+        query = live.start(status, sinks.BatchAppender(f"{base}/table"), f"{base}/offsets", once=True)
+        query.awaitTermination()
+    sinks.BatchAppender(f"{base}/table")(live.parse_messages(rows), 1)
+    last = messages.agg(F.max(F.to_date("timestamp")).cast("string")).first()[0]
+    sinks.compact(d.spark, f"{base}/table", last)
+    return _stored(d, status, f"{base}/table").withColumnRenamed("last_reported", "reported_at").select(*SHOWN)

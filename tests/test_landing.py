@@ -130,8 +130,45 @@ def test_partitioned_write_prunes(spark, tmp_path):
     assert read.count() == 100
     assert "PartitionFilters: [isnotnull(day#" in read._jdf.queryExecution().toString()
     assert len(list((tmp_path / "mart" / "day=2024-01-03").glob("*.parquet"))) == 1
-    sinks.write_partitioned_by_day(rows.withColumn("at", F.col("day").cast("timestamp")), path + "2", "at", ["id"])
-    assert spark.read.parquet(path + "2").filter("at_day = DATE'2024-01-03'").count() == 100
+
+
+def test_month_folders_prune_days(spark, tmp_path):
+    """Only the wanted month's files are opened, and few files are written."""
+    path = str(tmp_path / "mart")
+    rows = spark.range(20_000).select(F.date_add(F.lit("2024-01-15").cast("date"), (F.col("id") % 300).cast("int")).alias("day"), "id")
+    sinks.write_by_month(rows, path, "day", ["id"])
+    assert sinks.read_by_month(spark, path, rows.schema, "day").exceptAll(rows).isEmpty()
+    part = sinks.read_by_month(spark, path, rows.schema, "day", "2024-03-10", "2024-04-02")
+    assert part.agg(F.min("day"), F.max("day"), F.countDistinct("day")).first()[2] == 24
+    assert part.count() == rows.filter("day BETWEEN DATE'2024-03-10' AND DATE'2024-04-02'").count()
+    opened = {r[0] for r in part.select(F.input_file_name()).distinct().collect()}
+    assert {name.split("day_month=")[1].split("/")[0] for name in opened} == {"2024-03", "2024-04"}
+    assert len(list((tmp_path / "mart").rglob("*.parquet"))) <= 2 * 11
+    assert "PartitionFilters: [isnotnull(day_month#" in part._jdf.queryExecution().toString()
+    moments = rows.withColumn("day", F.col("day").cast("timestamp") + F.expr("INTERVAL 20 HOURS"))
+    sinks.write_by_month(moments, path + "2", "day")
+    assert sinks.read_by_month(spark, path + "2", moments.schema, "day", last="2024-01-15").count() == rows.filter("day = DATE'2024-01-15'").count()
+
+
+def test_batches_replay_and_compact(spark, tmp_path):
+    """Over a hundred batches, most of them empty; replays and cut-short compactions do no harm."""
+    path = str(tmp_path / "status")
+    sink = sinks.BatchAppender(path, "at")
+    rows = spark.range(40).selectExpr("id", "timestamp'2024-05-01' + make_interval(0, 0, 0, cast(id % 4 AS int)) AS at")
+    for batch in range(110):
+        sink(rows.filter(f"id DIV 10 = {batch}") if batch < 4 else rows.limit(0), batch)
+    assert sink.written == 40 and live.has_new_data(sink)
+    sink(rows.filter("id DIV 10 = 3"), 3)
+    stored = lambda: sorted(r["id"] for r in spark.read.parquet(path).collect())
+    assert stored() == list(range(40))
+    # A compaction that ended after its copy was complete, and one that ended before.
+    spark.read.parquet(f"{path}/day=2024-05-01").drop("batch_id").write.parquet(f"{path}_compacting/day=2024-05-01")
+    spark.range(1).write.parquet(f"{path}_compacting/day=2024-05-02")
+    (tmp_path / "status_compacting" / "day=2024-05-02" / "_SUCCESS").unlink()
+    assert sinks.compact(spark, path, "2024-05-04") == ["2024-05-02", "2024-05-03"]
+    assert stored() == list(range(40))
+    assert sinks.compact(spark, path, "2024-05-04") == []
+    assert not live.has_new_data(sinks.BatchAppender(path))
 
 
 def test_recording_results_replaces_an_invocation(spark, tmp_path):
@@ -189,9 +226,9 @@ def test_stream_resumes_and_replays_safely(spark, tmp_path):
 
     def drain():
         stream = live.file_source(spark, source, messages.schema)
-        query = live.start(live.parse_messages(stream), sinks.BatchAppender(target), offsets, once=True)
-        query.awaitTermination()
-        return query
+        sink = sinks.BatchAppender(target)
+        live.start(live.parse_messages(stream), sink, offsets, once=True).awaitTermination()
+        return sink
 
     assert live.has_new_data(drain())
     stored = lambda: spark.read.parquet(target)
@@ -257,23 +294,23 @@ def test_nothing_remains_after_a_run(spark):
 
 
 def test_build_and_contracts(spark, tmp_path):
-    """The whole model on some months, with the contracts it should and should not meet."""
+    """The whole model, with the contracts it should and should not meet."""
     landed = build.Landed(
-        incidents=fixtures.landed_incidents(spark, FOLDER).filter("date >= '2000-01-01' AND date < '2000-08-01'"),
-        trips=fixtures.landed_trips(spark, FOLDER).filter("started_at >= '2000-01-01' AND started_at < '2000-08-01'"),
+        incidents=fixtures.landed_incidents(spark, FOLDER),
+        trips=fixtures.landed_trips(spark, FOLDER),
         areas=fixtures.area_seed(spark, FOLDER),
-        station_status=fixtures.raw_station_status(spark, FOLDER).filter("kafka_timestamp < '2024-01-03'"),
+        station_status=fixtures.raw_station_status(spark, FOLDER),
     )
-    model = build.ModelBuild(spark, str(tmp_path), first_year=2000, trained_before="2000-06-15")
+    model = build.ModelBuild(spark, str(tmp_path), first_year=1996, trained_before="2000-01-01")
     tables = model.run(landed)
     assert tables["predictions"].count() + tables["training"].count() == tables["station_day"].count()
     direct = marts.station_day(
         marts.trip_facts(staging.stage_trips(landed.trips)),
         marts.stations(staging.stage_trips(landed.trips)),
-        marts.incident_facts(staging.stage_incidents(landed.incidents, 2000)),
+        marts.incident_facts(staging.stage_incidents(landed.incidents, 1996)),
     )
     assert direct.exceptAll(tables["station_day"].select(*direct.columns)).count() == 0
-    outcomes = {r["test_name"]: r for r in model.check((2000, 2000)).collect()}
+    outcomes = {r["test_name"]: r for r in model.check((1995, 2001)).collect()}
     assert outcomes["station_day.relationships_date_key"]["status"] == "pass"
     assert outcomes["dates.values_between_year"]["status"] == "pass"
     assert outcomes["incidents.relationships_crime_type_key"]["status"] == "pass"

@@ -100,10 +100,25 @@ def test_quantile_routes_agree(spark, quantile, groups):
         F.when(F.col("id") % 4 == 0, F.lit(500.0)).when(F.col("id") % 13 == 0, None).otherwise(F.hash("id") % 1000).alias("v"),
     )
     expected = rows.groupBy(*groups).agg(F.percentile("v", F.lit(quantile)).alias("q"))
-    found = quantiles.exact_quantile(rows, "v", quantile, groups, values_per_task=10)
+    found = quantiles.exact_quantile(rows, "v", quantile, groups)
     assert by_group(found) == by_group(expected)
 
 
+def test_quantile_of_odd_values(spark):
+    """Infinities, NaN, one huge group, a constant group, ties at the wanted ranks; no job before the read."""
+    inf, nan = float("inf"), float("nan")
+    odd = {"inf": [inf, inf, 1.0], "both": [-inf, inf, 0.0], "nan": [nan, 1.0, nan], "same": [2.5] * 9, "one": [7.0], "null": [None]}
+    small = spark.createDataFrame([(g, v) for g, values in odd.items() for v in values], "g string, v double")
+    rows = small.unionAll(spark.range(50_000).selectExpr("'huge' AS g", "cast(hash(id) AS double) / 7 AS v"))
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    frames = [quantiles.exact_quantile(rows, "v", q, ["g"]) for q in (0.0, 0.3, 0.7, 1.0)]
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+    for q, found in zip((0.0, 0.3, 0.7, 1.0), frames):
+        expected = rows.filter("v IS NOT NULL").groupBy("g").agg(F.percentile("v", F.lit(q)).alias("q"))
+        assert repr(by_group(found)) == repr(by_group(expected))
+    assert quantiles.exact_quantile(rows.limit(0), "v", 0.5).collect()[0][0] is None
+
+
 def by_group(df):
     return sorted(((tuple(r)[:-1], round(r[-1], 9)) for r in df.collect()), key=repr)
 
