@@ -11,13 +11,14 @@ from cyclograph.functions.casts import as_column
 
 
 def keep_first(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Column]) -> DataFrame:
-    """One row per key: the first in ``order``.
+    """One row per key: the first in ``order``; among equals, the one of the least digest of its columns.
 
     ``row_number() = 1`` is recognised by the optimizer, which trims every map-side
     partition to one row per key before the shuffle, so a key that owns a large share
     of the rows never reaches a single task whole.
     """
-    window = Window.partitionBy(*[as_column(k) for k in keys]).orderBy(*order)
+    digest = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    window = Window.partitionBy(*[as_column(k) for k in keys]).orderBy(*order, digest)
     return df.withColumn("__rank", F.row_number().over(window)).filter("__rank = 1").drop("__rank")
 
 

@@ -7,23 +7,14 @@ from pyspark.sql import functions as F
 
 from cyclograph.functions.geo import QUARTER_MILE_M, Grid, haversine_m
 
-SALTS = 8
 
-
-def nearby_pairs(
-    places: DataFrame, points: DataFrame, radius_m: float = QUARTER_MILE_M, salts: int = SALTS
-) -> DataFrame:
+def nearby_pairs(places: DataFrame, points: DataFrame, radius_m: float = QUARTER_MILE_M) -> DataFrame:
     """Inner join on distance. Both sides need ``lat`` and ``lng``; their other columns must differ.
 
-    An equi-join on grid cells followed by the exact distance. Points stay one row each
-    and spread over ``salts`` sub-keys per cell, so a crowded cell is split between
-    tasks - also one crowded position, if the points carry an id. A place is repeated
-    for the few cells it reaches and for every sub-key.
-
-    No broadcast is forced: the optimizer may choose one for places under its threshold
-    (at most 9 x ``salts`` times that size after the expansion), and the adaptive planner
-    by the measured size otherwise; points are not shuffled then. Beyond that both sides
-    are shuffled by cell, and adaptive skew handling splits what salting left uneven.
+    An equi-join on grid cells followed by the exact distance. Points stay one row each; a
+    place is repeated for the few cells it reaches, at most nine. No broadcast is forced: the
+    optimizer chooses one for few places, and points are not shuffled then. Beyond that both
+    sides are shuffled by cell, and the adaptive planner splits crowded cells by their size.
     """
     grid = Grid(radius_m)
     place_columns = [F.col(c) for c in places.columns if c not in ("lat", "lng")]
@@ -32,21 +23,14 @@ def nearby_pairs(
         .select(*place_columns, F.col("lat").alias("__lat"), F.col("lng").alias("__lng"))
         .withColumn("__band", F.explode(grid.neighbour_bands(F.col("__lat"))))
         .withColumn("__cell", F.explode(grid.cells_touched(F.col("__lat"), F.col("__lng"), F.col("__band"))))
-        .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     )
-    # The salt is a digest of the whole row: unlike a random number, a re-run task repeats it.
     keyed = (
         points.filter("lat IS NOT NULL AND lng IS NOT NULL")
         .withColumn("__band", grid.band(F.col("lat")))
         .withColumn("__cell", grid.cell(F.col("lng"), F.col("__band")))
-        .withColumn("__salt", F.pmod(F.xxhash64(*points.columns), F.lit(salts)).cast("int"))
     )
     near = haversine_m(F.col("__lat"), F.col("__lng"), F.col("lat"), F.col("lng")) <= radius_m
-    return (
-        keyed.join(spread, ["__band", "__cell", "__salt"])
-        .filter(near)
-        .drop("__band", "__cell", "__salt", "__lat", "__lng")
-    )
+    return keyed.join(spread, ["__band", "__cell"]).filter(near).drop("__band", "__cell", "__lat", "__lng")
 
 
 def nearby_counts(
@@ -56,14 +40,13 @@ def nearby_counts(
     date: str,
     radius_m: float = QUARTER_MILE_M,
     lookback_days: int = 0,
-    salts: int = SALTS,
 ) -> DataFrame:
     """(place_id, date, n): points on that date, or in the ``lookback_days`` before it, too.
 
     Pairs are counted on the map side first, so only (place, date) figures are shuffled.
     """
     dated = points.filter(F.col(date).isNotNull())
-    pairs = nearby_pairs(places.select(place_id, "lat", "lng"), dated, radius_m, salts)
+    pairs = nearby_pairs(places.select(place_id, "lat", "lng"), dated, radius_m)
     counts = pairs.groupBy(place_id, date).agg(F.count(F.lit(1)).alias("n"))
     if not lookback_days:
         return counts

@@ -62,9 +62,10 @@ def within_n_moving_stdevs(
     metric = safe_log if take_logs else (lambda c: F.coalesce(F.col(c), F.lit(0)))
 
     def violations(df: DataFrame) -> DataFrame:
-        ordered = Window.partitionBy(*keys).orderBy("metric_period")
+        ordered = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy("metric_period")
         trend = ordered.rowsBetween(-trend_periods, -1)
-        sums = df.groupBy(cal.truncate(as_expression(date_column), period).alias("metric_period"), *map(as_expression, keys)).agg(
+        groups = [as_expression(k).alias(k) for k in keys]
+        sums = df.groupBy(cal.truncate(as_expression(date_column), period).alias("metric_period"), *groups).agg(
             F.sum(as_expression(column)).alias("agg_metric_value")
         )
         tested = metric("agg_metric_value")

@@ -25,7 +25,9 @@ def values_to_be_between(
 def _ordered_check(name, column, sort_column, strictly, step, group_by, row_condition, tiebreak, rising) -> Check:
     keys = list(group_by or [])
     order = [sort_column or column, *([tiebreak] if isinstance(tiebreak, str) else tiebreak or [])]
-    value, before = F.col(column), F.col(PREVIOUS)
+    names = list(dict.fromkeys([*keys, *order, column]))
+    inner = {n: f"__c{i}" for i, n in enumerate(names)}
+    value, before = F.col(inner[column]), F.col(PREVIOUS)
     if rising:
         fine, difference = (value > before if strictly else value >= before), value - before
     else:
@@ -36,8 +38,11 @@ def _ordered_check(name, column, sort_column, strictly, step, group_by, row_cond
     broken = before.isNotNull() & ~fine
 
     def violations(df: DataFrame) -> DataFrame:
-        needed = list(dict.fromkeys([*keys, *order, column]))
-        return breaks_in_order(where(df, row_condition).select(*needed), column, order, keys, broken)
+        rows = where(df, row_condition).select(*[as_expression(n).alias(c) for n, c in inner.items()])
+        # Ending in the value makes the order total, as far as these columns go.
+        sorting = list(dict.fromkeys([*[inner[o] for o in order], inner[column]]))
+        bad = breaks_in_order(rows, inner[column], sorting, [inner[k] for k in keys], broken)
+        return bad.withColumnsRenamed({c: n for n, c in inner.items()})
 
     return Check(name, violations)
 
@@ -53,8 +58,8 @@ def values_to_be_increasing(
 ) -> Check:
     """Each value against the one before it in sort order; the first value passes.
 
-    Give a ``tiebreak`` that makes the order total: it makes the result repeatable and
-    lets rows with equal sort values spread over tasks.
+    Rows with equal sort values stand in the order of ``tiebreak``, then of the value itself.
+    Columns and groups are SQL fragments.
     """
     return _ordered_check(
         f"values_increasing_{column}", column, sort_column, strictly, step, group_by, row_condition, tiebreak, True

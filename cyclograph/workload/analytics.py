@@ -373,3 +373,14 @@ def area_months(d: Domain) -> DataFrame:
     placed = d.reads.select("station_id", F.expr("CAST(station_id AS BIGINT) % 78").alias("community_area_id")).distinct()
     joined = dashboards.area_months(d.incidents, reads, placed, (" a ", " r "))
     return joined.withColumn("avg_bikes_available", rounded("avg_bikes_available"))
+
+
+@register("sf17_random_range", "SELECT count(*) AS n, true AS in_range, true AS spread FROM lineitem")
+def random_range(d: Domain) -> DataFrame:
+    """A property of the random numbers: from 0 to below 1, one for each row, about evenly."""
+    drawn = d.table("lineitem").select(numeric.uniform_random(7).alias("u"))
+    return drawn.agg(
+        F.count("u").alias("n"),
+        ((F.min("u") >= 0) & (F.max("u") < 1)).alias("in_range"),
+        (F.avg("u").between(0.4, 0.6) & (F.approx_count_distinct("u") > 0.5 * F.count("u"))).alias("spread"),
+    )

@@ -238,3 +238,18 @@ def trips_per_fiscal_week(d: Domain) -> DataFrame:
     return daily.join(fiscal, "date_key").groupBy("fiscal_year_number", "fiscal_week_of_year").agg(
         F.sum("n").alias("trip_count")
     )
+
+
+@register(
+    "cal34_cal36_numbered_literals",
+    """SELECT generated_number, MAKE_DATE(1992, 2, 29) AS d, MAKE_TIMESTAMP(1992, 2, 29, 6, 30, 15.0) AS t,
+  count(o_orderkey) AS n FROM (SELECT unnest(generate_series(1, 60)) AS generated_number) s
+LEFT JOIN orders ON o_orderdate = MAKE_DATE(1992, 2, 29) + CAST(generated_number AS INT) GROUP BY ALL""",
+)
+def numbered_literals(d: Domain) -> DataFrame:
+    """Orders on each of the 60 days after a literal day."""
+    day = cal.date_literal(1992, 2, 29)
+    numbers = tables.number_series(d.spark, 60).withColumn("o_orderdate", F.date_add(day, F.col("generated_number").cast("int")))
+    orders = d.table("orders").select(F.to_date("o_orderdate").alias("o_orderdate"), "o_orderkey")
+    counted = numbers.join(orders, "o_orderdate", "left").groupBy("generated_number").agg(F.count("o_orderkey").alias("n"))
+    return counted.select("generated_number", day.alias("d"), cal.datetime_literal(1992, 2, 29, 6, 30, 15).alias("t"), "n")

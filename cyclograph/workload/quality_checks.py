@@ -776,3 +776,62 @@ def _(d: Domain) -> DataFrame:
         F.sum("s").over(Window.partitionBy(*keys).orderBy(F.desc("day"))).alias("falling"),
     )
     return events.join(running, [*keys, "day"]).select("event_id", "event_type", "rising", "falling")
+
+
+# --- SQL fragments as groups -------------------------------------------------------
+
+
+@check(
+    "dq20_median_per_expression",
+    """SELECT l_suppkey % 3 AS "l_suppkey % 3", round(quantile_cont(l_quantity, 0.5), 6) AS expression FROM lineitem
+GROUP BY ALL HAVING NOT quantile_cont(l_quantity, 0.5) <= 5""",
+    "lineitem",
+    "l_suppkey % 3",
+    ("expression", 6),
+)
+def _(d):
+    return q.column_median_to_be_between("l_quantity", max_value=5, group_by=["l_suppkey % 3"])
+
+
+@check(
+    "dq21_quantile_per_expression",
+    """SELECT upper(o_orderstatus) AS "upper(o_orderstatus)", round(quantile_cont(o_totalprice / 10, 0.9), 4) AS expression
+FROM orders GROUP BY ALL HAVING NOT quantile_cont(o_totalprice / 10, 0.9) < 10""",
+    "orders",
+    "upper(o_orderstatus)",
+    ("expression", 4),
+)
+def _(d):
+    return q.column_quantile_values_to_be_between("o_totalprice / 10", 0.9, max_value=10, group_by=["upper(o_orderstatus)"], strictly=True)
+
+
+_LAG_BY = """SELECT user_id % 4 AS "user_id % 4", event_id, -value AS "-value", value_field_lag FROM (
+SELECT *, lag(-value) OVER (PARTITION BY user_id % 4 ORDER BY ts, event_id) AS value_field_lag FROM events)
+WHERE value_field_lag IS NOT NULL AND NOT ({fine})"""
+
+
+@check("dq31_increasing_per_expression", _LAG_BY.format(fine="-value > value_field_lag"), "events", "user_id % 4", "event_id", "-value", "value_field_lag")
+def _(d):
+    return q.values_to_be_increasing("-value", "ts", group_by=["user_id % 4"], tiebreak="event_id")
+
+
+@check("dq32_decreasing_per_expression", _LAG_BY.format(fine="-value < value_field_lag"), "events", "user_id % 4", "event_id", "-value", "value_field_lag")
+def _(d):
+    return q.values_to_be_decreasing("-value", "ts", group_by=["user_id % 4"], tiebreak="event_id")
+
+
+@check(
+    "dq71_moving_stdevs_per_expression",
+    """WITH g AS (SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS metric_period, user_id % 2 AS k, sum(value) AS agg FROM events GROUP BY ALL),
+m AS (SELECT *, avg(agg) OVER w AS a, stddev_samp(agg) OVER w AS s FROM g
+  WINDOW w AS (PARTITION BY k ORDER BY metric_period ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))
+SELECT k AS "user_id % 2", metric_period, round((agg - a) / nullif(s, 0), 4) AS metric_test_sigma FROM m
+WHERE metric_period >= TIMESTAMP '2024-01-16' AND metric_period < TIMESTAMP '2024-01-30' AND NOT (agg - a) / nullif(s, 0) BETWEEN -1 AND 1""",
+    "events",
+    "user_id % 2",
+    "metric_period",
+    ("metric_test_sigma", 4),
+)
+def _(d):
+    as_of = F.lit("2024-01-30 12:00:00").cast("timestamp")
+    return q.within_n_moving_stdevs("value", "ts", ["user_id % 2"], sigma_threshold=1, take_diffs=False, take_logs=False, as_of=as_of)
