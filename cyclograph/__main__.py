@@ -11,6 +11,8 @@ from __future__ import annotations
 import argparse
 import sys
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
 from cyclograph.plans import staging
@@ -30,14 +32,21 @@ def clean_incidents(spark: SparkSession, args) -> int:
 
 
 def load_trips(spark: SparkSession, args) -> int:
-    """Load monthly files. A month that is loaded again replaces itself."""
+    """Load monthly files, one job each. A month that is loaded again replaces itself; one that
+    can't be read is reported, and the others are loaded all the same."""
     chosen = landing.select_months(landing.list_folder(spark, args.folder), args.month, args.first, args.last)
     if args.dry_run or not chosen:
         print("\n".join(chosen) or "no months match")
         return 0
-    trips = landing.read_trip_files(spark, chosen)
-    sinks.replace_partitions(trips, args.target, ["source_month"])
-    return 0
+    failed = 0
+    for path in chosen:
+        try:
+            sinks.replace_partitions(landing.read_trip_files(spark, [path]), args.target, ["source_month"])
+            print(f"loaded {path}")
+        except (PySparkException, Py4JError) as error:
+            failed += 1
+            print(f"FAIL {path}: {str(error).splitlines()[0][:200]}")
+    return 1 if failed else 0
 
 
 def stream(spark: SparkSession, args) -> int:
@@ -51,7 +60,7 @@ def stream(spark: SparkSession, args) -> int:
 def build(spark: SparkSession, args) -> int:
     """Build the model and run its contracts; fails if a contract fails."""
     landed = Landed(
-        landing.read_parquet(spark, args.incidents),
+        landing.keyed_incidents(landing.read_parquet(spark, args.incidents)),
         landing.read_parquet(spark, args.trips),
         landing.read_areas(spark, args.areas),
         landing.read_parquet(spark, args.status) if args.status else None,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cyclograph.functions.calendar import truncate
@@ -45,10 +45,12 @@ def busy_station_hours(trips: DataFrame, n: int = 20) -> DataFrame:
     hourly = trips.groupBy(
         F.hour("started_at").alias("hour_of_day"), F.col("start_station_id").alias("station_id")
     ).agg(F.count(F.lit(1)).alias("trip_count"))
-    totals = hourly.groupBy("station_id").agg(F.sum("trip_count").alias("total"))
-    busiest = totals.orderBy(F.desc("total"), F.col("station_id").asc_nulls_last()).limit(n).select("station_id")
-    # A group without a station may be ranked, but never matches itself.
-    return hourly.join(busiest, "station_id", "left_semi").orderBy("station_id", "hour_of_day")
+    totals = hourly.withColumn("__total", F.sum("trip_count").over(Window.partitionBy("station_id")))
+    # At most 24 rows for each station; each task passes on the rows of its own first n stations only.
+    busiest = Window.orderBy(F.desc("__total"), F.col("station_id").asc_nulls_last())
+    ranked = totals.withColumn("__place", F.dense_rank().over(busiest)).filter(F.col("__place") <= n)
+    # A group without a station may be ranked, but is not shown.
+    return ranked.filter("station_id IS NOT NULL").drop("__total", "__place").orderBy("station_id", "hour_of_day")
 
 
 def monthly_series(incidents: DataFrame, trips: DataFrame) -> DataFrame:

@@ -105,6 +105,11 @@ def normalize_incidents(feed: DataFrame) -> DataFrame:
     return kept.withColumns(coerced)
 
 
+def keyed_incidents(incidents: DataFrame) -> DataFrame:
+    """Incidents as the model build reads them: cleaned ones call their key ``id``, landed ones ``unique_key``."""
+    return incidents if "unique_key" in incidents.columns else incidents.withColumnRenamed("id", "unique_key")
+
+
 def station_messages(feed: DataFrame, body: Column | str = "value") -> DataFrame:
     """One (key, value) message per station of a feed snapshot; blank ids are skipped.
 
