@@ -302,7 +302,7 @@ def _exact(documents: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFram
     )
     texts = documents.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key"), "text")
     found = (
-        texts.join(units, "key")
+        texts.join(units.hint("merge"), "key")  # alike at every size: no broadcast while the groups are few
         .select("unit", "block", "node", "copies", "text")
         .repartition("unit")
         .sortWithinPartitions("unit")
