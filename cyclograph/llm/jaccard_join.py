@@ -231,6 +231,8 @@ def overlaps(sets: list[np.ndarray], left: list[int], right: list[int]) -> Itera
     """(i, those j of ``right`` that reach the threshold with it) for each i of ``left``, by an inverted list."""
     sizes = np.array([len(s) for s in sets])
     top, bottom = THRESHOLD.numerator, THRESHOLD.denominator
+    if not len(right) or not len(left):
+        return
     if len(right) * len(left) <= 8:
         for i in left:
             hit = []
@@ -256,10 +258,14 @@ def overlaps(sets: list[np.ndarray], left: list[int], right: list[int]) -> Itera
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Exact join of each unit (unit, block, node, copies, text): links of each set, and its class so far."""
+    """Exact join of each unit (unit, pair, block, node, copies, text): links of each set, and its class so far.
+
+    A unit is one block against itself, or, as a pair, one block against another.
+    """
     for _, rows in _groups(batches):
+        pair = rows[0][1]
         known: dict[bytes, tuple[int, int, np.ndarray]] = {}
-        for (_, block, node, copies, _), tokens in zip(rows, _sets(pa.array([r[4] for r in rows], pa.large_string()))):
+        for (_, _, block, node, copies, _), tokens in zip(rows, _sets(pa.array([r[5] for r in rows], pa.large_string()))):
             if node not in known and digest(tokens) == node:
                 known[node] = (block, copies, tokens)
         nodes = sorted(known)
@@ -270,9 +276,9 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left = [i for i in everyone if blocks[i] == first]
         right = [i for i in everyone if blocks[i] != first]
         links, parent = np.zeros(len(nodes), np.int64), everyone.copy()
-        for i, hit in overlaps(sets, left, right or left) if nodes else ():
+        for i, hit in overlaps(sets, left, right if pair else left) if (right or not pair) else ():
             links[i] += copies[hit].sum()
-            if right:
+            if pair:
                 links[hit] += copies[i]
             for j in hit:
                 a, b = _root(parent, i), _root(parent, int(j))
@@ -298,12 +304,13 @@ def _exact(documents: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFram
     partner = F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1))
     units = cut.select("*", partner.alias("other")).select(
         F.xxhash64("grouped", F.least("block", "other"), F.greatest("block", "other")).alias("unit"),
+        (F.col("block") != F.col("other")).alias("pair"),
         "block", "node", "copies", F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key"),
     )
     texts = documents.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key"), "text")
     found = (
         texts.join(units.hint("merge"), "key")  # alike at every size: no broadcast while the groups are few
-        .select("unit", "block", "node", "copies", "text")
+        .select("unit", "pair", "block", "node", "copies", "text")
         .repartition("unit")
         .sortWithinPartitions("unit")
         .mapInArrow(_verify, "node binary, links bigint, root binary")

@@ -36,12 +36,12 @@ ALL = -1
 """Every window of a segment, as a mask."""
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_PLACE_BITS = np.uint64(26)
+_PLACE_BITS = 26
 
 
 def _least(grams: np.ndarray) -> np.ndarray:
     """Place of the least of each REACH consecutive values, the first one among equals."""
-    low = (np.uint64(1) << _PLACE_BITS) - np.uint64(1)
+    low = np.uint64((1 << max(_PLACE_BITS, len(grams).bit_length())) - 1)
     key = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
     width = 1
     while 2 * width <= REACH:

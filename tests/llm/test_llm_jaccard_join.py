@@ -71,9 +71,10 @@ def test_equals_brute_force(joined):
 
 def test_large_groups_in_blocks(spark, joined, monkeypatch):
     texts, found, _ = joined
-    monkeypatch.setattr(jj, "UNIT_SHINGLES", 8000)
-    rows = jj.join_texts(documents(spark, texts)).collect()
-    assert {r["doc_id"]: (r["class_id"], r["n_links"]) for r in rows} == found
+    for shingles in (8000, 150):  # down to blocks of one set, or of none
+        monkeypatch.setattr(jj, "UNIT_SHINGLES", shingles)
+        rows = jj.join_texts(documents(spark, texts)).collect()
+        assert {r["doc_id"]: (r["class_id"], r["n_links"]) for r in rows} == found
 
 
 def test_one_of_each(spark, joined):

@@ -57,15 +57,51 @@ def test_stages_keep_columns_and_clean_documents(spark):
     assert {"doc_id", "text", "shard"} <= set(corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER).columns)
 
 
-def test_run_equals_its_stages_one_by_one(spark):
-    """Brute force over the stages' own decisions, read from the operators' queries."""
-    ran = corpus_pipeline.run(spark, FOLDER).toPandas()
-    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
-    for _, stage in corpus_pipeline.STAGES:
-        docs = stage(spark, docs, FOLDER)
-    one = docs.toPandas()
-    key = ["doc_id", "shard"]
-    assert ran[key].value_counts().to_dict() == one[key].value_counts().to_dict()
+def test_pipeline_equals_brute_force(spark):
+    """Each stage after the trained one against brute force on the rows it was given."""
+    import re
+
+    from test_llm_decontamination import brute as contaminated
+    from test_llm_jaccard_join import brute as classes
+    from test_llm_mixing import brute_targets
+
+    stages = dict(corpus_pipeline.STAGES)
+    docs = stages["language"](spark, spark.read.parquet(f"{FOLDER}/documents.parquet"), FOLDER)
+    rows = sorted(docs.collect(), key=lambda r: r["doc_id"])
+    assert all(r["lang"] in ("en", "fr", "de", "es") for r in rows) and len(rows) == docs.count()
+
+    found = classes([r["text"] for r in rows])
+    rows = [r for i, r in enumerate(rows) if found[i][0] == i]
+    docs = stages["near_copies"](spark, docs, FOLDER)
+    assert sorted(r["doc_id"] for r in docs.collect()) == [r["doc_id"] for r in rows]
+
+    items = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").select("item_id", "text").collect()]
+    rows = [r for r, (n, hit, _) in zip(rows, contaminated([r["text"] for r in rows], items)) if not (hit and 20 * hit >= n)]
+    docs = stages["benchmark_passages"](spark, docs, FOLDER)
+    assert sorted(r["doc_id"] for r in docs.collect()) == [r["doc_id"] for r in rows]
+
+    size = {r["doc_id"]: len(re.findall("[^\x20\x09-\x0d]+", r["text"] or "")) for r in rows}
+    source = {r["doc_id"]: r["source"] for r in rows}
+    sizes, taken = Counter(), Counter()
+    for i, n in size.items():
+        sizes[source[i]] += n
+    docs = stages["mix"](spark, docs, FOLDER)
+    copies = Counter(r["doc_id"] for r in docs.collect())
+    for i, n in copies.items():
+        assert n <= 2
+        taken[source[i]] += n * size[i]
+    for s, target in brute_targets(dict(sizes)).items():
+        assert abs(taken[s] - target) <= 0.02 * target + 20, s
+
+    placed = stages["shards"](spark, docs, FOLDER).collect()
+    assert Counter(r["doc_id"] for r in placed) == copies
+    loads = Counter()
+    for r in placed:
+        loads[r["shard"]] += len(r["text"].encode()) + 1
+    assert set(loads) == set(range(8))
+
+    ran = corpus_pipeline.run(spark, FOLDER).select("doc_id", "shard").collect()
+    assert Counter(map(tuple, ran)) == Counter((r["doc_id"], r["shard"]) for r in placed)
 
 
 def test_stages_on_an_empty_table(spark):
