@@ -34,19 +34,24 @@ def bounds_of(*series: tuple[DataFrame, str]) -> DataFrame:
 SPINE_BLOCK = 10_000
 
 
-def date_spine(limits: DataFrame, part: str = "day") -> DataFrame:
-    """``date_<part>``: as many steps from the start as there are boundaries up to the end,
-    so the end itself is excluded. Long spines are made in blocks, which spread over tasks."""
+def spine_steps(limits: DataFrame, part: str = "day") -> DataFrame:
+    """(start, step): 0, 1, 2 and so on, one for each boundary from the start to the end.
+
+    Long spines are made in blocks, which spread over tasks.
+    """
     steps = cal.boundaries_between("start", "end", part)
     blocks = limits.filter(steps > 0).select(
         "start", steps.alias("__n"), F.explode(F.sequence(F.lit(0).cast("bigint"), steps - 1, F.lit(SPINE_BLOCK).cast("bigint"))).alias("__at")
     )
     end = F.least(F.col("__at") + SPINE_BLOCK, "__n") - 1
-    return (
-        blocks.repartition("__at")
-        .withColumn("__step", F.explode(F.sequence("__at", end)))
-        .select(cal.add_parts("start", F.col("__step"), part).cast("timestamp").alias(f"date_{part}"))
-    )
+    return blocks.repartition("__at").select("start", F.explode(F.sequence("__at", end)).alias("step"))
+
+
+def date_spine(limits: DataFrame, part: str = "day") -> DataFrame:
+    """``date_<part>``: as many steps from the start as there are boundaries up to the end,
+    so the end itself is excluded."""
+    moment = cal.add_parts("start", F.col("step"), part).cast("timestamp")
+    return spine_steps(limits, part).select(moment.alias(f"date_{part}"))
 
 
 def base_dates(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cyclograph.functions import calendar as cal
 from cyclograph.functions.casts import as_expression
 from cyclograph.functions.numeric import safe_log
-from cyclograph.plans.calendar_tables import bounds, date_spine
+from cyclograph.plans.calendar_tables import bounds, spine_steps
 from cyclograph.quality.core import Check, Condition, where
 
 EPOCH_START = "1970-01-01"
@@ -122,13 +122,18 @@ def row_values_to_have_data_for_every_n_datepart(
                 F.lit(test_end_date).alias("end") if test_end_date else end.alias("end"),
             )
         limits = limits.select(F.col("start").cast("timestamp"), F.col("end").cast("timestamp"))
-        spine, dates = date_spine(limits, date_part), rows.select(cal.truncate(as_expression(date_column), date_part).alias(bucket))
-        if interval:
-            into = cal.boundaries_between("__start", bucket, date_part) % interval
-            spine = spine.withColumn("__start", limits.select("start").scalar()).filter(into == 0).drop("__start")
-            started = dates.distinct().withColumn("__start", limits.select("start").scalar())
-            dates = started.select(cal.add_parts(bucket, -into, date_part).alias(bucket))
-        missing = spine.join(dates.distinct(), bucket, "left_anti").select(
+        n = interval or 1
+        # Each bucket with its n periods; a bucket is missing if none of them has rows. The limits
+        # and the dates are one scan each.
+        buckets = spine_steps(limits, date_part).filter(F.col("step") % n == 0)
+        starts = buckets.select(cal.add_parts("start", F.col("step"), date_part).cast("timestamp").alias(bucket))
+        offset = F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("__offset")
+        periods = starts.select(bucket, offset).select(
+            bucket, cal.add_parts(bucket, F.col("__offset"), date_part).cast("timestamp").alias("__period")
+        )
+        dates = rows.select(cal.truncate(as_expression(date_column), date_part).cast("timestamp").alias("__period")).distinct()
+        here = periods.join(dates.withColumn("__here", F.lit(1)), "__period", "left")
+        missing = here.groupBy(bucket).agg(F.max("__here").alias("__here")).filter("__here IS NULL").select(
             bucket, F.lit(True).alias("is_missing"), F.lit(0).cast("bigint").alias("row_cnt")
         )
         return missing if exclusion_condition is None else missing.filter(as_expression(exclusion_condition))
