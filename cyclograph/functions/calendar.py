@@ -18,23 +18,6 @@ DEFAULT_ZONE = "UTC"
 # Languages for localised day and month names.
 LANGUAGES = ("en", "nl", "de", "fr", "es", "it", "pt", "pl", "da", "sv", "tr", "cs", "fi")
 
-# Season names, winter to autumn.
-SEASONS = {
-    "en": ("winter", "spring", "summer", "autumn"),
-    "nl": ("winter", "lente", "zomer", "herfst"),
-    "de": ("Winter", "Frühling", "Sommer", "Herbst"),
-    "fr": ("hiver", "printemps", "été", "automne"),
-    "es": ("invierno", "primavera", "verano", "otoño"),
-    "it": ("inverno", "primavera", "estate", "autunno"),
-    "pt": ("inverno", "primavera", "verão", "outono"),
-    "pl": ("zima", "wiosna", "lato", "jesień"),
-    "da": ("vinter", "forår", "sommer", "efterår"),
-    "sv": ("vinter", "vår", "sommar", "höst"),
-    "tr": ("kış", "ilkbahar", "yaz", "sonbahar"),
-    "cs": ("zima", "jaro", "léto", "podzim"),
-    "fi": ("talvi", "kevät", "kesä", "syksy"),
-}
-
 # Seconds per unit of fixed length.
 SECONDS_PER = {"second": 1, "minute": 60, "hour": 3600}
 

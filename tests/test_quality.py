@@ -9,6 +9,7 @@ from cyclograph.quality import suite
 
 @pytest.fixture(scope="module")
 def table(spark):
+    # The rows that the expected outcomes below refer to.
     return spark.createDataFrame(
         [
             (1, "2020-10-21", 0.0, 1.0, "a", "b", None, None, 2, -2),
