@@ -6,10 +6,14 @@ each stage's rows as Parquet in the shared folder and hands the stored rows to t
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cyclograph.llm import decontamination, jaccard_join, language_id, mixing, sharding
+from cyclograph.llm.words import small_batches
 from cyclograph.session import materialize
 
 LEAST_SCORE = 0.5
@@ -47,12 +51,20 @@ def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sharding.with_shard(docs, SHARDS)
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _in_small_batches(stage: Stage) -> Stage:
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("language", language),
-    ("near_copies", near_copies),
-    ("benchmark_passages", benchmark_passages),
-    ("mix", mix),
-    ("shards", shards),
+    (stage.__name__, _in_small_batches(stage)) for stage in (language, near_copies, benchmark_passages, mix, shards)
 ]
 
 ORACLE_SQL = None

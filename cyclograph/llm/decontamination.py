@@ -20,7 +20,7 @@ from cyclograph.llm.words import ALNUM, LOWER, text_chunks, words_of
 from cyclograph.session import materialize
 
 WINDOW = 13
-SEGMENT_BYTES = 2 << 20
+SEGMENT_BYTES = 1 << 20
 BLOCK_BYTES = 32 << 20
 """Test passages are broadcast in blocks of about this much text."""
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from cyclograph.llm import chat_format, decontamination, jaccard_join, language_id, mixing, pii, quality_rules, sharding, substring_dedup, url_filter
+from cyclograph.llm.words import small_batches
 from cyclograph.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -16,7 +17,11 @@ SQL: dict[str, str] = {}
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]):
-    QUERIES[build.__name__] = build
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        small_batches(spark)
+        return build(spark, folder)
+
+    QUERIES[build.__name__] = run
     return build
 
 

@@ -11,10 +11,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 """Texts are handled together up to this size; a longer text is handled alone."""
 
+BATCH_ROWS = 1000
+"""Rows that travel to Python at once, where texts are long."""
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let whole texts go to Python in batches of a few MB instead of Spark's 10 000 rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
 _PAGE = 4096
 _random = np.random.default_rng(20240229)
 _BYTE = _random.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
