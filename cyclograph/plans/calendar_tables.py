@@ -40,8 +40,10 @@ def spine_steps(limits: DataFrame, part: str = "day") -> DataFrame:
     Long spines are made in blocks, which spread over tasks.
     """
     steps = cal.boundaries_between("start", "end", part)
+    # Also where the filter drops the row, the optimizer may evaluate the sequence.
+    last = F.greatest(steps - 1, F.lit(0)).cast("bigint")
     blocks = limits.filter(steps > 0).select(
-        "start", steps.alias("__n"), F.explode(F.sequence(F.lit(0).cast("bigint"), steps - 1, F.lit(SPINE_BLOCK).cast("bigint"))).alias("__at")
+        "start", steps.alias("__n"), F.explode(F.sequence(F.lit(0).cast("bigint"), last, F.lit(SPINE_BLOCK).cast("bigint"))).alias("__at")
     )
     end = F.least(F.col("__at") + SPINE_BLOCK, "__n") - 1
     return blocks.repartition("__at").select("start", F.explode(F.sequence("__at", end)).alias("step"))

@@ -25,4 +25,8 @@ def new_session() -> SparkSession:
 
 @pytest.fixture(scope="session")
 def spark():
-    return new_session()
+    from cyclograph.session import remove_folders
+
+    session = new_session()
+    yield session
+    remove_folders(session)
