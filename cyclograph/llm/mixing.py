@@ -24,7 +24,7 @@ from cyclograph.session import materialize
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2
-CHUNK_ROWS = 20_000
+CHUNK_ROWS = 2_000
 STEPS = 60
 PRECISION = 1e-7
 
