@@ -23,7 +23,7 @@ def test_filters_and_columns_reach_the_scan(spark):
 
 def test_written_marts_are_pruned_by_partition(spark):
     (scan,) = scans(plan(spark, "snk5_partitioned_mart"))
-    assert "PartitionFilters: [isnotnull(source_month" in scan
+    assert "PartitionFilters: [isnotnull(date_key_month" in scan and "PushedFilters: [IsNotNull(date_key)" in scan
 
 
 @pytest.mark.parametrize("name", ["prj2_clean_incidents", "prj3_staged_incidents", "prj6_staged_status", "ag7_ag8_wn2_stations"])
