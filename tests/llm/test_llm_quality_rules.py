@@ -72,3 +72,37 @@ def test_judge(spark):
     assert not any(kept[i] for i in range(len(good), len(good) + len(bad) + len(ODD_TEXTS)))
     assert all(r["kept"] != r["base_failed"] for r in qr.judge(docs, labels.limit(0)).collect())
     assert qr.judge(docs.limit(0), labels).count() == 0
+
+
+def test_error_goes_to_strata_that_can_use_it():
+    shares = qr.error_shares({"0": 371, "1": 1835, "2": 1096, "3": 20})
+    assert set(shares) == {"0", "1", "2"} and abs(sum(shares.values()) - qr.ERROR) < 1e-12
+    assert all(qr.most_rejected(n, qr.RISK, shares[s]) >= 0 for s, n in {"0": 371, "1": 1835, "2": 1096}.items())
+    assert qr.error_shares({"0": 298}) == {} and set(qr.error_shares({"0": 299})) == {"0"}
+    assert qr.error_shares({"0": 0}) == {} and qr.most_rejected(298, 0.01, 0.05) == -1
+
+
+def test_joint_cutoffs_keep_the_risk():
+    """Two rules that each reject 0.8 % of the good documents together stay within 1 %, whatever the order."""
+    rng = np.random.default_rng(3)
+    path = [("symbols", 199), ("capitals", 199)]
+    truth = np.array([0.984, 0.006, 0.002, 0.006, 0.002])  # by level; symbols has 3 and 4, capitals 1 and 2
+    broken = taken = 0
+    for _ in range(400):
+        cuts = qr.proven(path, rng.multinomial(1200, truth), np.array([10, 50, 50, 50, 50]), 0.01, 0.05)
+        rate = sum(truth[low + cuts[rule] - cut : low + 2].sum() for rule, cut, low in qr.levels(path) if rule in cuts)
+        broken, taken = broken + (rate > 0.01 + 1e-12), taken + bool(cuts)
+    assert taken > 200 and broken / 400 <= 0.05 + 0.03
+
+
+def test_few_labels_prove_rules(spark):
+    """Far fewer labels than 2 849 suffice, in a stratum that sets some aside, in one that learns from the other, and for two rules."""
+    good = [" ".join(prose(i, 60)) for i in range(600)] + [" ".join(prose(i, 150)) for i in range(1100)]
+    bad = [" ".join(w + " ###" for w in prose(i, 30)) for i in range(40)] + [" ".join(w + " ###" for w in prose(i, 75)) for i in range(40)]
+    bad += ["\n".join(" ".join(prose(i, 7)) for _ in range(3)) + " " + " ".join(prose(-i - 1, 150)) for i in range(40)]
+    labels = spark.createDataFrame([(i, int(i < len(good)), 0) for i in range(len(good) + len(bad))], "doc_id bigint, quality int, toxic int")
+    judged = qr.judge(documents(spark, good + bad), labels).collect()
+    assert all(r["kept"] for r in judged if r["doc_id"] < len(good))
+    assert not any(r["kept"] for r in judged if r["doc_id"] >= len(good))
+    assert {r["stratum"] for r in judged if r["broken"]} == {"0", "1"}
+    assert {x for r in judged for x in r["broken"]} >= {"symbols", "repeated lines"}
