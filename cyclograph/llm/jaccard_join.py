@@ -368,20 +368,20 @@ def join_texts(documents: DataFrame) -> DataFrame:
 def one_of_each(documents: DataFrame) -> DataFrame:
     """One row of each class of ``documents``, all columns as they were: the one of the least doc_id.
 
-    Rows without words stay, one for each doc_id. Of rows alike in id and words, any one stays.
+    Rows without words are copies of no row and all stay, but for repeats of a whole row with its
+    doc_id. Of rows alike in id and words, any one stays.
     """
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    joined = join_texts(documents)
-    ranked = joined.withColumn(
+    ranked = join_texts(documents).withColumn(
         "__nth",
         F.row_number().over(Window.partitionBy("class_node").orderBy(F.col("doc_id").asc_nulls_last(), "node")),
     )
     first = ranked.filter((F.col("__nth") == 1) & (F.col("node") != F.lit(NO_WORDS)))
-    empty = joined.filter(F.col("node") == F.lit(NO_WORDS))
-    kept = first.select(key.alias("__key"), F.col("node").alias("__node")).unionAll(
-        empty.select(key.alias("__key"), F.col("node").alias("__node")).distinct()
-    )
+    kept = first.select(key.alias("__key"), F.col("node").alias("__node"))
     named = documents.withColumn("__key", key).withColumn("__node", node_of("text"))
-    return named.join(kept, ["__key", "__node"], "left_semi").dropDuplicates(["__key", "__node"]).select(
-        *[F.col(f"`{c}`") for c in documents.columns]
-    )
+    columns = [F.col(f"`{c}`") for c in documents.columns]
+    worded = named.join(kept, ["__key", "__node"], "left_semi").dropDuplicates(["__key", "__node"]).select(*columns)
+    empty = documents.filter(~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
+    whole = F.sha2(F.to_json(F.struct(*columns)), 256)
+    once = empty.filter("doc_id IS NOT NULL").withColumn("__row", whole).dropDuplicates(["__row"]).select(*columns)
+    return worded.unionAll(once).unionAll(empty.filter("doc_id IS NULL"))

@@ -4,6 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from fixtures_llm import ODD_TEXTS, documents, prose
+from pyspark.sql import functions as F
 
 from cyclograph.llm import jaccard_join as jj
 from cyclograph.llm.components import components
@@ -87,6 +88,16 @@ def test_one_of_each(spark, joined):
     assert again == Counter([*kept, None])
 
 
+def test_one_of_each_keeps_rows_without_words(spark):
+    """They are no copies: all without an id stay, and those of one id that differ in anything."""
+    docs = documents(spark, [None, "", " \n", None, "a b", "a b"])
+    no_id = docs.withColumn("doc_id", F.lit(None).cast("bigint"))
+    one_id = docs.withColumn("doc_id", F.lit(7).cast("bigint"))
+    assert Counter(r["text"] for r in jj.one_of_each(no_id).collect()) == {None: 2, "": 1, " \n": 1, "a b": 1}
+    kept = jj.one_of_each(one_id.unionAll(one_id).withColumn("source", F.col("n_chars").cast("string"))).collect()
+    assert Counter(r["text"] for r in kept) == {None: 1, "": 1, " \n": 1, "a b": 1}
+
+
 def test_odd_rows(spark):
     docs = documents(spark, [None, None, "", "a b"]).unionAll(documents(spark, ["a b"], 3)).withColumnRenamed("source", "node")
     rows = sorted((r["doc_id"], r["class_id"], r["n_links"]) for r in jj.join_texts(docs).collect())
