@@ -41,9 +41,10 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    mixed = mixing.mix(docs.withColumn("size", mixing.count_words("text")))
+    own = {c: f"__own_{c}" if c.lower() in ("size", *mixing.ADDED) else c for c in docs.columns}
+    mixed = mixing.mix(docs.select(*[F.col(f"`{c}`").alias(name) for c, name in own.items()]).withColumn("size", mixing.count_words("text")))
     repeated = mixed.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
-    return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return repeated.select(*[F.col(f"`{name}`").alias(c) for c, name in own.items()])
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,6 +27,7 @@ MOST = 2
 CHUNK_ROWS = 2_000
 STEPS = 60
 PRECISION = 1e-7
+ADDED = ("source_size", "target", "copies")
 
 
 def count_words(text: str) -> Column:
@@ -71,9 +72,10 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
     )
 
 
-def _rate(size: Column) -> Column:
-    tilted = MOST / (1 + F.exp(-(F.lit(float(np.log(SHARE / (MOST - SHARE)))) + F.col("tilt") * size / F.col("scale"))))
-    return F.when(F.col("full"), F.lit(float(MOST))).otherwise(tilted)
+def _rate(size: Column, prefix: str = "") -> Column:
+    tilt, scale, full = (F.col(prefix + c) for c in ("tilt", "scale", "full"))
+    tilted = MOST / (1 + F.exp(-(F.lit(float(np.log(SHARE / (MOST - SHARE)))) + tilt * size / scale)))
+    return F.when(full, F.lit(float(MOST))).otherwise(tilted)
 
 
 def _exact_sum(column: Column) -> Column:
@@ -160,7 +162,7 @@ def mix(documents: DataFrame) -> DataFrame:
     the last one. Large sources are rounded in several chunks of about CHUNK_ROWS rows, in falling
     order of size, so that small documents make up for what large ones leave. Reruns agree.
     """
-    names = [c for c in documents.columns if c not in ("source_size", "target", "copies")]
+    names = [c for c in documents.columns if c.lower() not in ADDED]
     rows = documents.select(*[F.col(f"`{c}`") for c in names]).withColumn("size", F.coalesce("size", F.lit(0)).cast("bigint"))
     by_size = materialize(rows.groupBy("source", "size").agg(F.count("*").alias("n")), "mix-sizes")
     wanted = materialize(
@@ -168,15 +170,16 @@ def mix(documents: DataFrame) -> DataFrame:
         "mix-targets",
     )
     same = by_size["source"].eqNullSafe(wanted["source"])
-    state = solve(by_size.join(wanted, same).select("source_id", "size", "n"), wanted).withColumnRenamed("source", "__source")
+    state = solve(by_size.join(wanted, same).select("source_id", "size", "n"), wanted)
+    state = state.select(*[F.col(c).alias(f"__{c}") for c in state.columns])
     joined = rows.join(state, F.col("source").eqNullSafe(F.col("__source")))
-    chunk = F.pmod(F.xxhash64("doc_id", "size"), F.ceil(F.col("n_rows") / CHUNK_ROWS))
+    chunk = F.pmod(F.xxhash64("doc_id", "size"), F.ceil(F.col("__n_rows") / CHUNK_ROWS))
     shaped = joined.select(
-        *[F.col(f"`{c}`") for c in names], "source_size", "target",
-        "source_id", chunk.alias("__chunk"), F.col("size").alias("__size"), _rate(F.col("size")).alias("__rate"),
+        *[F.col(f"`{c}`") for c in names], F.col("__source_size").alias("source_size"), F.col("__target").alias("target"),
+        "__source_id", chunk.alias("__chunk"), F.col("size").alias("__size"), _rate(F.col("size"), "__").alias("__rate"),
     )
-    ordered = shaped.repartition("source_id", "__chunk").sortWithinPartitions(
-        "source_id", "__chunk", F.desc("__size"), "doc_id", *[F.col(f"`{c}`") for c in names if c not in ("doc_id", "size", "source")]
+    ordered = shaped.repartition("__source_id", "__chunk").sortWithinPartitions(
+        "__source_id", "__chunk", F.desc("__size"), "doc_id", *[F.col(f"`{c}`") for c in names if c not in ("doc_id", "size", "source")]
     )
-    schema = shaped.drop("source_id", "__chunk", "__size", "__rate").schema.add("copies", "long")
+    schema = shaped.drop("__source_id", "__chunk", "__size", "__rate").schema.add("copies", "long")
     return ordered.mapInArrow(_copies, schema)

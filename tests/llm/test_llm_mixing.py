@@ -69,3 +69,22 @@ def test_odd_rows(spark):
     rows = mixing.mix(sized.unionAll(sized)).collect()
     assert len(rows) == 8 and all(r["copies"] == 0 for r in rows if not r["size"])
     assert mixing.mix(sized.limit(0)).count() == 0
+
+
+def test_clashing_columns(spark):
+    """Columns named like the working columns come back as they were, from the operator and from the stage."""
+    import corpus_pipeline
+
+    docs = documents(spark, [" ".join(prose(i, 5 + i)) for i in range(40)])
+    state = ["source_id", "n_rows", "scale", "full", "tilt"]
+    for c in state:
+        docs = docs.withColumn(c, F.concat(F.lit(c), "doc_id"))
+    rows = mixing.mix(docs.withColumn("size", mixing.count_words("text"))).collect()
+    assert len(rows) == 40 and all(r[c] == f"{c}{r['doc_id']}" for r in rows for c in state)
+    replaced = ["size", "source_size", "target", "Copies"]
+    for c in replaced:
+        docs = docs.withColumn(c, F.concat(F.lit(c), "doc_id"))
+    out = dict(corpus_pipeline.STAGES)["mix"](spark, docs, "")
+    assert out.columns == docs.columns and out.dtypes == docs.dtypes
+    mixed = out.collect()
+    assert mixed and all(r[c] == f"{c}{r['doc_id']}" for r in mixed for c in state + replaced)
