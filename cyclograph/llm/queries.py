@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cyclograph.llm import chat_format, decontamination, jaccard_join, language_id, mixing, pii, quality_rules, sharding, substring_dedup, url_filter
+from cyclograph.llm import chat_format, decontamination, jaccard_join, language_id, mixing, pii, quality_classifier, quality_rules, sharding, substring_dedup, url_filter
 from cyclograph.llm.words import small_batches
 from cyclograph.session import materialize
 
@@ -240,6 +240,19 @@ FROM d LEFT JOIN gone USING (doc_id)
 """
 
 
+LEAST_QUALITY = 0.3
+
+
+@query
+def op11_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality score of every document, learned from the labels of documents that aren't held out."""
+    documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    kept_back = quality_classifier.held_out(F.col("doc_id"))
+    network = quality_classifier.fit(documents, labels.filter(~kept_back))
+    scored = quality_classifier.predict(documents.select("doc_id", kept_back.alias("held_out"), "text"), network)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= LEAST_QUALITY).cast("int").alias("predicted"))
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """All stages of the corpus pipeline."""

@@ -21,6 +21,7 @@ COLUMNS = {
     "op8": "doc_id size source_size target taken",
     "op9": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
     "op10": "doc_id n_words n_hit n_items items_sha256 contaminated",
+    "op11": "doc_id held_out score predicted",
 }
 
 
