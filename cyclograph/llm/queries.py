@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cyclograph.llm import chat_format, decontamination, jaccard_join, language_id, mixing, pii, quality_classifier, quality_rules, sharding, substring_dedup, url_filter
+from cyclograph.llm import chat_format, decontamination, jaccard_join, language_id, mixing, pii, quality_classifier, quality_rules, sharding, substring_dedup, url_filter, whitening
 from cyclograph.llm.words import small_batches
 from cyclograph.session import materialize
 
@@ -253,6 +253,22 @@ def op11_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= LEAST_QUALITY).cast("int").alias("predicted"))
 
 
+@query
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Every usable embedding on up to four whitened components."""
+    found = whitening.whiten(table(spark, folder, "embeddings").select("vec_id", "embedding"), components=4)
+    explained = F.array(*[F.lit(e) for e in found.explained]).cast("array<double>")
+    return found.rows.select("vec_id", F.col("n_fit").alias("n"), "deviation", F.posexplode("whitened")).select(
+        "vec_id",
+        (F.col("pos") + 1).alias("component"),
+        "n",
+        "deviation",
+        F.col("col").alias("whitened"),
+        F.get(explained, F.col("pos")).alias("explained"),
+        F.lit(found.identity_error).alias("identity_error"),
+    )
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """All stages of the corpus pipeline."""

@@ -22,6 +22,7 @@ COLUMNS = {
     "op9": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
     "op10": "doc_id n_words n_hit n_items items_sha256 contaminated",
     "op11": "doc_id held_out score predicted",
+    "op12": "vec_id component n deviation whitened explained identity_error",
 }
 
 
@@ -35,9 +36,9 @@ def test_columns_and_rows(spark, name):
     df = QUERIES[name](spark, FOLDER)
     wanted = COLUMNS[name.split("_")[0]].split()
     assert df.columns[: len(wanted)] == wanted
-    table = {"op1": "conversations", "op7": "pages"}.get(name.split("_")[0], "documents")
+    table = {"op1": "conversations", "op7": "pages", "op12": "embeddings"}.get(name.split("_")[0], "documents")
     rows = spark.read.parquet(f"{FOLDER}/{table}.parquet")
-    expected = rows.select("conv_id").distinct().count() + 1 if table == "conversations" else rows.count()
+    expected = rows.select("conv_id").distinct().count() + 1 if table == "conversations" else rows.count() * (4 if table == "embeddings" else 1)
     assert df.count() == expected
 
 
