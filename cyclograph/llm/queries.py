@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cyclograph.llm import chat_format, decontamination, jaccard_join, language_id, mixing, pii, quality_classifier, quality_rules, sharding, substring_dedup, url_filter, whitening
+from cyclograph.llm import chat_format, decontamination, jaccard_join, language_id, mixing, pii, quality_classifier, quality_rules, sharding, substring_dedup, token_alignment, url_filter, whitening
 from cyclograph.llm.words import small_batches
 from cyclograph.session import materialize
 
@@ -269,6 +269,20 @@ def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+TOKENIZERS = "/opt/tokenizers"
+
+
+@query
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's tokens of two tokenizers, aligned."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    found = token_alignment.align(documents, f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return found.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256")
+    )
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """All stages of the corpus pipeline."""

@@ -23,6 +23,7 @@ COLUMNS = {
     "op10": "doc_id n_words n_hit n_items items_sha256 contaminated",
     "op11": "doc_id held_out score predicted",
     "op12": "vec_id component n deviation whitened explained identity_error",
+    "op13": "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
 }
 
 
