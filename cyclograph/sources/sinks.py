@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cyclograph.operators.dedup import upsert
+from cyclograph.sources.versions import Manifest, VersionedTable, partition_of
 
 
 def write_files(df: DataFrame, path: str, files: int | None = None) -> int:
@@ -74,63 +75,64 @@ def replace_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> N
 
 
 COMPACTED = -1
+_ARRIVED = "arrived"
+
+
+def status_table(spark: SparkSession, path: str) -> VersionedTable:
+    return VersionedTable(spark, path, ["day", "batch_id"])
 
 
 class BatchAppender:
     """``foreachBatch`` target: a folder for each day, and in it one for each micro-batch.
 
-    The day comes from the rows (column ``moment``), so a replayed batch meets and replaces its
-    own folders. An empty batch changes nothing. ``written`` counts the rows kept since the start.
-    ``compact`` later turns each finished day into a few files.
+    The day comes from the rows (column ``moment``). A batch is one commit, tagged with its
+    number, so a replayed batch takes its own earlier rows' place. An empty batch changes nothing.
+    The ledger beside the folders counts the rows that arrived; ``arrived_rows`` reads it from any
+    process. ``compact`` later turns each finished day into a few files.
     """
 
     def __init__(self, path: str, moment: str = "kafka_timestamp"):
-        self.path, self.moment, self.written = path, moment, 0
+        self.path, self.moment = path, moment
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        counted = Observation()
-        rows = batch.observe(counted, F.count(F.lit(1)).alias("rows"))
-        placed = rows.withColumns({"day": F.to_date(self.moment), "batch_id": F.lit(batch_id).cast("bigint")})
-        replace_partitions(placed.hint("rebalance", F.col("day")), self.path, ["day", "batch_id"])
-        self.written += counted.get["rows"]
+        table, tag = status_table(batch.sparkSession, self.path), f"batch {batch_id}"
+        placed = batch.withColumns({"day": F.to_date(self.moment), "batch_id": F.lit(batch_id).cast("bigint")})
+        base = table.current()
+        written = table.stage(placed, tag)
+        kept = {f: p for f, p in base.parts.items() if p.tag != tag}
+        before = base.rows - sum(p.rows for p in kept.values())
+        arrived = base.notes.get(_ARRIVED, 0) + sum(p.rows for p in written.values()) - before
+        table.commit(base, kept | written, {"schema": placed.schema.jsonValue(), _ARRIVED: arrived})
+
+
+def arrived_rows(spark: SparkSession, path: str) -> int:
+    """Rows that micro-batches have brought to the sink so far; replays don't count again. Only the
+    ledger is read, so this holds for every process, and after restarts and compactions."""
+    return status_table(spark, path).current().notes.get(_ARRIVED, 0)
 
 
 def compact(spark: SparkSession, path: str, before: str) -> list[str]:
     """Merge the batches of each day earlier than ``before``; returns the days merged.
 
-    No batch that could still be replayed may hold rows of such a day. A day is first written
-    beside the table, then takes the old folder's place; a run that was cut short is finished
-    by the next one.
+    No batch that could still be replayed may hold rows of such a day. The merged rows are written
+    beside the table in one job and come in by one commit: a reader sees a day's old folders or
+    its new one. A run that was cut short has changed nothing; ``VersionedTable.vacuum`` deletes
+    what no recent version names.
     """
-    jvm = spark._jvm
-    at = jvm.org.apache.hadoop.fs.Path
-    files = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    aside = f"{path.rstrip('/')}_compacting"
-
-    def folders(base: str, prefix: str) -> list[str]:
-        if not files.exists(at(base)):
-            return []
-        return sorted(s.getPath().getName() for s in files.listStatus(at(base)) if s.getPath().getName().startswith(prefix))
-
-    def swap(day: str) -> None:
-        files.delete(at(f"{path}/{day}"), True)
-        files.mkdirs(at(f"{path}/{day}"))
-        files.rename(at(f"{aside}/{day}"), at(f"{path}/{day}/batch_id={COMPACTED}"))
-
-    for day in folders(aside, "day="):
-        if files.exists(at(f"{aside}/{day}/_SUCCESS")):
-            swap(day)
-        else:
-            files.delete(at(f"{aside}/{day}"), True)
-    merged = []
-    for day in folders(path, "day="):
-        if day.removeprefix("day=") < before and folders(f"{path}/{day}", "batch_id=") != [f"batch_id={COMPACTED}"]:
-            spark.read.parquet(f"{path}/{day}").drop("batch_id").hint("rebalance").write.parquet(f"{aside}/{day}")
-            swap(day)
-            merged.append(day.removeprefix("day="))
-    return merged
+    table = status_table(spark, path)
+    base = table.current()
+    days: dict[str, set[str]] = {}
+    for folder in base.parts:
+        days.setdefault(folder.partition("/")[0], set()).add(partition_of(folder))
+    merged = sorted(d for d, p in days.items() if d.removeprefix("day=") < before and p != {f"{d}/batch_id={COMPACTED}"})
+    if merged:
+        old = {f: p for f, p in base.parts.items() if f.partition("/")[0] in merged}
+        rows = table.read(Manifest(base.number, old, base.notes)).withColumn("batch_id", F.lit(COMPACTED).cast("bigint"))
+        written = table.stage(rows, f"compacted {base.number + 1}")
+        table.commit(base, {f: p for f, p in base.parts.items() if f not in old} | written)
+    return [day.removeprefix("day=") for day in merged]
 
 
 RESULTS_JSON = (
@@ -161,31 +163,54 @@ def test_results(documents: DataFrame, body: str = "value", recorded_at: Column
     )
 
 
-def record_results(results: DataFrame, path: str, invocations: Sequence[str] = ()) -> None:
-    """Re-recording an invocation replaces its earlier rows. An invocation of ``invocations`` that
-    has no rows any more loses its earlier ones too."""
-    replace_partitions(results, path, ["invocation_id"])
-    spark = results.sparkSession
-    at, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
-    if invocations:
-        kept = {r[0] for r in results.filter(F.col("invocation_id").isin(list(invocations))).select("invocation_id").distinct().collect()}
-        for gone in set(invocations) - kept:
-            folder = at(f"{path}/invocation_id={gone}")
-            folder.getFileSystem(conf).delete(folder, True)
+def results_table(spark: SparkSession, path: str) -> VersionedTable:
+    return VersionedTable(spark, path, ["recorded_day"])
+
+
+def record_results(
+    results: DataFrame, path: str, invocations: DataFrame | None = None, day: Column | str = "recorded_at"
+) -> None:
+    """Re-recording an invocation replaces its earlier rows. An invocation of ``invocations`` (a
+    table of ids) that has no rows any more loses its earlier ones too.
+
+    One folder for each load day. Earlier rows are found by a join; only the days that hold some
+    are rewritten, and old and new rows change places in one commit.
+    """
+    table = results_table(results.sparkSession, path)
+    base = table.current()
+    placed = results.withColumn("recorded_day", F.to_date(day))
+    written = table.stage(placed, f"recorded {base.number + 1}", ["invocation_id"])
+    notes = {"schema": placed.schema.jsonValue()}
+    parts = dict(base.parts)
+    if parts:
+        recorded = table.read(Manifest(0, written, notes)).select("invocation_id")
+        ids = recorded if invocations is None else recorded.unionByName(invocations.select("invocation_id"))
+        ids, old = ids.distinct(), table.read(base)
+        touched = old.join(ids, "invocation_id", "left_semi").select("recorded_day").distinct()
+        days = {f"recorded_day={'__HIVE_DEFAULT_PARTITION__' if r[0] is None else r[0]}" for r in touched.collect()}  # one a load day
+        if days:
+            stale = {f: p for f, p in parts.items() if partition_of(f) in days}
+            kept = table.read(Manifest(0, stale, base.notes)).join(ids, "invocation_id", "left_anti")
+            rewritten = table.stage(kept.select(*old.columns), f"kept {base.number + 1}", ["invocation_id"])
+            parts = {f: p for f, p in parts.items() if f not in stale} | rewritten
+    table.commit(base, parts | written, notes)
 
 
 def upsert_partitions(
     spark: SparkSession, path: str, changes: DataFrame, keys: Sequence[str], version: str, partition: str
 ) -> None:
-    """Merge ``changes`` into a partitioned table, rewriting only the partitions they touch.
+    """Merge ``changes`` into a ``VersionedTable`` by ``partition``, rewriting only the partitions they touch.
 
-    The partition column must be one of the keys: a row can then never move to another
-    partition, and no partition ever becomes empty.
+    The merged partitions are written beside the old ones, which readers see until the commit and
+    which a broken run leaves as they were. The partition column must be one of the keys: a row
+    can then never move to another partition, and no partition ever becomes empty.
     """
     if partition not in keys:
         raise ValueError("the partition column must be part of the key")
-    current = spark.read.parquet(path)
+    table = VersionedTable(spark, path, [partition])
+    base = table.current()
+    current = table.read(base)
     touched = changes.select(partition).distinct()
-    affected = current.join(touched, partition, "left_semi")
+    affected = current.join(touched, partition, "left_semi").select(*current.columns)
     merged = upsert(affected, changes.select(*current.columns), keys, version)
-    replace_partitions(merged, path, [partition])
+    table.replace(merged, base=base)

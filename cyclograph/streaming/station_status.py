@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cyclograph.sources.landing import STATION_SCHEMA
-from cyclograph.sources.sinks import BatchAppender
+from cyclograph.sources.sinks import arrived_rows
 
 TRIGGER_INTERVAL = "60 seconds"
 STALE_AFTER_SECONDS = 3600
@@ -90,6 +90,9 @@ def start(
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)).start()
 
 
-def has_new_data(sink: BatchAppender) -> bool:
-    """Whether any batch since the start brought rows to the sink; rows read and dropped don't count."""
-    return sink.written > 0
+def has_new_data(spark: SparkSession, path: str, before: int) -> bool:
+    """Whether rows came to the sink at ``path`` since it had ``before`` (of ``arrived_rows``).
+
+    Rows that a batch read and dropped don't count. Any process may ask, also after a restart.
+    """
+    return arrived_rows(spark, path) > before

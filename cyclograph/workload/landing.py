@@ -10,6 +10,7 @@ from cyclograph.operators.dedup import keep_first, upsert
 from cyclograph.plans import marts, staging
 from cyclograph.session import new_folder
 from cyclograph.sources import fixtures, landing, sinks
+from cyclograph.sources.versions import VersionedTable
 from cyclograph.workload.registry import Domain, register
 
 
@@ -239,14 +240,13 @@ WHERE user_id % 5 <> 0 OR (user_id % 10 = 0 AND event_id % 2 = 0)""",
 def recorded_twice(d: Domain) -> DataFrame:
     """Results recorded, then some invocations again with fewer rows and some with none."""
     path = new_folder(d.spark, "results")
-    rows = d.table("events").select(F.col("user_id").cast("string").alias("invocation_id"), "event_id", "value")
+    rows = d.table("events").select(F.col("user_id").cast("string").alias("invocation_id"), "event_id", "value", "ts")
     number = F.col("invocation_id").cast("long")
-    sinks.record_results(rows, path)
+    sinks.record_results(rows, path, day="ts")
     again = rows.filter((number % 10 == 0) & (F.col("event_id") % 2 == 0))
-    ids = [r[0] for r in rows.filter(number % 5 == 0).select("invocation_id").distinct().collect()]
-    sinks.record_results(again, path, ids)
-    kept = d.spark.read.schema(rows.schema).parquet(path)
-    return kept.select("invocation_id", "event_id", "value")
+    ids = rows.filter(number % 5 == 0).select("invocation_id").distinct()
+    sinks.record_results(again, path, ids, day="ts")
+    return sinks.results_table(d.spark, path).read().select("invocation_id", "event_id", "value")
 
 
 @register(
@@ -259,14 +259,15 @@ def upserted_partitions(d: Domain) -> DataFrame:
     """A stored table by priority, two of whose partitions take changes."""
     path = new_folder(d.spark, "orders-by-priority")
     current = d.table("orders").select("o_orderkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
-    current.hint("rebalance", F.col("o_orderpriority")).write.partitionBy("o_orderpriority").parquet(path)
+    table = VersionedTable(d.spark, path, ["o_orderpriority"])
+    table.overwrite(current)
     changed = current.filter("o_orderpriority = '1-URGENT' AND o_orderkey % 5 = 0").withColumn("o_orderstatus", F.lit("X"))
     fresh = current.filter("o_orderpriority = '2-HIGH' AND o_orderkey % 7 = 0").withColumns(
         {"o_orderkey": -F.col("o_orderkey") - 1, "o_orderstatus": F.lit("N")}
     )
     keys = ["o_orderkey", "o_orderpriority"]
     sinks.upsert_partitions(d.spark, path, changed.unionByName(fresh), keys, "o_orderdate", "o_orderpriority")
-    return d.spark.read.schema(current.schema).parquet(path).select("o_orderkey", "o_orderpriority", "o_orderstatus", "o_orderdate")
+    return table.read().select("o_orderkey", "o_orderpriority", "o_orderstatus", "o_orderdate")
 
 
 @register(

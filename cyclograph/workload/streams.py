@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cyclograph.plans import staging
 from cyclograph.session import new_folder
@@ -40,17 +39,20 @@ def _records(d: Domain) -> DataFrame:
     return fixtures.status_messages(events)
 
 
+def _drain(status: DataFrame, base: str) -> None:
+    """Run the stream to its end."""
+    live.start(status, sinks.BatchAppender(f"{base}/table"), f"{base}/offsets", once=True).awaitTermination()
+
+
 def _drained(d: Domain, status: DataFrame, label: str) -> DataFrame:
     """Run the stream to its end; give back what the sink holds."""
     base = new_folder(d.spark, label)
-    query = live.start(status, sinks.BatchAppender(f"{base}/table"), f"{base}/offsets", once=True)
-    query.awaitTermination()
-    return _stored(d, status, f"{base}/table")
+    _drain(status, base)
+    return _stored(d, f"{base}/table")
 
 
-def _stored(d: Domain, status: DataFrame, path: str) -> DataFrame:
-    fields = [*status.schema.fields, T.StructField("day", T.DateType()), T.StructField("batch_id", T.LongType())]
-    return d.spark.read.schema(T.StructType(fields)).parquet(path).drop("day", "batch_id")
+def _stored(d: Domain, path: str) -> DataFrame:
+    return sinks.status_table(d.spark, path).read().drop("day", "batch_id")
 
 
 @register("str1_src6_parse_messages", PARSED)
@@ -87,18 +89,50 @@ def deduplicated(d: Domain) -> DataFrame:
 @register("snk3_str4_replayed_and_compacted", PARSED)
 def replayed(d: Domain) -> DataFrame:
     """Two runs of a stream, the second after a restart; its last batch delivered again; then
-    all days but the last compacted: each message is there once."""
+    all days but the last compacted and old versions removed: each message is there once."""
     base = new_folder(d.spark, "status-replayed")
     messages = fixtures.status_messages(d.table("events"))
-    middle = "kafka_offset < 5"
-    for part in (middle, f"NOT ({middle})"):
-        rows = messages.withColumnRenamed("offset", "kafka_offset").filter(part).withColumnRenamed("kafka_offset", "offset")
-        rows.coalesce(1).write.mode("append").parquet(f"{base}/in")
-        stream = live.file_source(d.spark, f"{base}/in", messages.schema)
-        status = live.parse_messages(stream)
-        query = live.start(status, sinks.BatchAppender(f"{base}/table"), f"{base}/offsets", once=True)
-        query.awaitTermination()
+    for rows in _halves(messages):
+        rows.write.mode("append").parquet(f"{base}/in")
+        _drain(live.parse_messages(live.file_source(d.spark, f"{base}/in", messages.schema)), base)
     sinks.BatchAppender(f"{base}/table")(live.parse_messages(rows), 1)
     last = messages.agg(F.max(F.to_date("timestamp")).cast("string")).first()[0]
     sinks.compact(d.spark, f"{base}/table", last)
-    return _stored(d, status, f"{base}/table").withColumnRenamed("last_reported", "reported_at").select(*SHOWN)
+    sinks.status_table(d.spark, f"{base}/table").vacuum(1)
+    return _stored(d, f"{base}/table").withColumnRenamed("last_reported", "reported_at").select(*SHOWN)
+
+
+def _halves(messages: DataFrame) -> list[DataFrame]:
+    return [messages.filter("offset % 2 = 0"), messages.filter("offset % 2 <> 0")]
+
+
+@register(
+    "str8_new_data_probe",
+    """WITH fresh AS (SELECT e.event_id % 2 AS half FROM events e JOIN first_status s ON e.event_id = s.kafka_offset
+  WHERE e.event_id % 503 <> 0 AND s.reported_at > s.kafka_timestamp - INTERVAL 3600 SECOND)
+SELECT run, arrived, arrived > lag(arrived, 1, 0) OVER (ORDER BY run) AS has_new_data FROM (
+  SELECT 1 AS run, count_if(half = 0) AS arrived FROM fresh
+  UNION ALL SELECT 2, count_if(half = 0) FROM fresh
+  UNION ALL SELECT 3, count(*) FROM fresh
+  UNION ALL SELECT 4, count(*) FROM fresh)""",
+    ints="run",
+)
+def probe(d: Domain) -> DataFrame:
+    """Four runs of the ingest, each asked about afterwards as a new process would: the even
+    messages; nothing; the odd ones; only messages so late that none is kept."""
+    base = new_folder(d.spark, "status-probed")
+    messages = fixtures.status_messages(d.table("events"))
+    even, odd = _halves(messages)
+    parts = [even, None, odd, messages]
+    found, before = [], 0
+    for run, rows in enumerate(parts, 1):
+        if run == len(parts):
+            rows = rows.withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 10 YEARS"))
+        if rows is not None:
+            rows.write.mode("append").parquet(f"{base}/in")
+        status = live.parse_messages(live.file_source(d.spark, f"{base}/in", messages.schema))
+        _drain(live.drop_stale(status, now=F.col("kafka_timestamp")), base)
+        arrived = sinks.arrived_rows(d.spark, f"{base}/table")
+        found.append((run, arrived, live.has_new_data(d.spark, f"{base}/table", before)))
+        before = arrived
+    return d.spark.createDataFrame(found, "run int, arrived bigint, has_new_data boolean")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cyclograph import session
 from cyclograph.plans import build, dashboards, marts, staging
+from cyclograph.sources.versions import VersionedTable
 from cyclograph.sources import fixtures, landing, sinks
 from cyclograph.streaming import station_status as live
 
@@ -151,24 +152,24 @@ def test_month_folders_prune_days(spark, tmp_path):
 
 
 def test_batches_replay_and_compact(spark, tmp_path):
-    """Over a hundred batches, most of them empty; replays and cut-short compactions do no harm."""
+    """Over a hundred batches, most of them empty; replays do no harm, and the ledger outlives the sink."""
     path = str(tmp_path / "status")
     sink = sinks.BatchAppender(path, "at")
     rows = spark.range(40).selectExpr("id", "timestamp'2024-05-01' + make_interval(0, 0, 0, cast(id % 4 AS int)) AS at")
     for batch in range(110):
         sink(rows.filter(f"id DIV 10 = {batch}") if batch < 4 else rows.limit(0), batch)
-    assert sink.written == 40 and live.has_new_data(sink)
-    sink(rows.filter("id DIV 10 = 3"), 3)
-    stored = lambda: sorted(r["id"] for r in spark.read.parquet(path).collect())
-    assert stored() == list(range(40))
-    # A compaction that ended after its copy was complete, and one that ended before.
-    spark.read.parquet(f"{path}/day=2024-05-01").drop("batch_id").write.parquet(f"{path}_compacting/day=2024-05-01")
-    spark.range(1).write.parquet(f"{path}_compacting/day=2024-05-02")
-    (tmp_path / "status_compacting" / "day=2024-05-02" / "_SUCCESS").unlink()
-    assert sinks.compact(spark, path, "2024-05-04") == ["2024-05-02", "2024-05-03"]
+    assert sinks.arrived_rows(spark, path) == 40 and live.has_new_data(spark, path, 0)
+    sinks.BatchAppender(path, "at")(rows.filter("id DIV 10 = 3"), 3)
+    assert not live.has_new_data(spark, path, 40)
+    stored = lambda: sorted(r["id"] for r in sinks.status_table(spark, path).read().collect())
     assert stored() == list(range(40))
+    assert sinks.compact(spark, path, "2024-05-04") == ["2024-05-01", "2024-05-02", "2024-05-03"]
+    assert stored() == list(range(40)) and sinks.arrived_rows(spark, path) == 40
     assert sinks.compact(spark, path, "2024-05-04") == []
-    assert not live.has_new_data(sinks.BatchAppender(path))
+    table = sinks.status_table(spark, path)
+    assert len(table.vacuum(1)) == 4 * 3 + 4 and stored() == list(range(40))
+    assert len(list((tmp_path / "status").rglob("version=*"))) == 3 + 4
+    assert not live.has_new_data(spark, str(tmp_path / "elsewhere"), 0)
 
 
 def test_recording_results_replaces_an_invocation(spark, tmp_path):
@@ -188,7 +189,8 @@ def test_recording_results_replaces_an_invocation(spark, tmp_path):
 
     record(document("one", "pass", "fail"), document("two", "pass"), '{"metadata": {}, "results": []}')
     record(document("one", "warn"))
-    rows = spark.read.parquet(path).collect()
+    table = sinks.results_table(spark, path)
+    rows = table.read().collect()
     found = sorted((r["invocation_id"], r["test_name"], r["status"]) for r in rows)
     assert found == [
         ("one", "test.shop.bare", "pass"),
@@ -196,19 +198,20 @@ def test_recording_results_replaces_an_invocation(spark, tmp_path):
         ("two", "test.shop.bare", "pass"),
         ("two", "unique.a0", "pass"),
     ]
-    outcome = dashboards.latest_test_outcomes(spark.read.parquet(path)).first()
+    outcome = dashboards.latest_test_outcomes(table.read()).first()
     assert tuple(outcome) == (3, 0, 1)
-    assert tuple(dashboards.latest_test_outcomes(spark.read.parquet(path).limit(0)).first()) == (0, 0, 0)
+    assert tuple(dashboards.latest_test_outcomes(table.read().limit(0)).first()) == (0, 0, 0)
 
 
 def test_partitioned_upsert(spark, tmp_path):
     path = str(tmp_path / "t")
     start = spark.createDataFrame([(1, "d1", "a", 1), (2, "d1", "b", 1), (3, "d2", "c", 1)], "k int, day string, v string, version int")
-    start.write.partitionBy("day").parquet(path)
+    table = VersionedTable(spark, path, ["day"])
+    table.overwrite(start)
     untouched = sorted((tmp_path / "t" / "day=d2").iterdir())
     changes = spark.createDataFrame([(1, "d1", "A", 2), (4, "d3", "D", 1)], start.schema)
     sinks.upsert_partitions(spark, path, changes, ["k", "day"], "version", "day")
-    rows = spark.read.parquet(path)
+    rows = table.read()
     assert sorted((r["k"], r["v"]) for r in rows.collect()) == [(1, "A"), (2, "b"), (3, "c"), (4, "D")]
     assert sorted((tmp_path / "t" / "day=d2").iterdir()) == untouched
     with pytest.raises(ValueError):
@@ -226,14 +229,14 @@ def test_stream_resumes_and_replays_safely(spark, tmp_path):
 
     def drain():
         stream = live.file_source(spark, source, messages.schema)
-        sink = sinks.BatchAppender(target)
-        live.start(live.parse_messages(stream), sink, offsets, once=True).awaitTermination()
-        return sink
+        live.start(live.parse_messages(stream), sinks.BatchAppender(target), offsets, once=True).awaitTermination()
 
-    assert live.has_new_data(drain())
-    stored = lambda: spark.read.parquet(target)
+    drain()
+    assert live.has_new_data(spark, target, 0)
+    stored = lambda: sinks.status_table(spark, target).read()
     assert stored().count() == 400
-    assert not live.has_new_data(drain())  # nothing new
+    drain()
+    assert not live.has_new_data(spark, target, 400)  # nothing new
     assert stored().count() == 400
     second.coalesce(1).write.mode("append").parquet(source)
     drain()
@@ -316,5 +319,5 @@ def test_build_and_contracts(spark, tmp_path):
     assert outcomes["incidents.relationships_crime_type_key"]["status"] == "pass"
     assert outcomes["incidents.not_null_crime_type_key"]["status"] == "fail"  # planted missing descriptions
     assert outcomes["station_reads.relationships_date_key"]["status"] == "fail"  # other years
-    kept = spark.read.parquet(model.path("test_results", "observability"))
+    kept = sinks.results_table(spark, model.path("test_results", "observability")).read()
     assert kept.count() == len(outcomes)
