@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cyclograph.operators.dedup import upsert
-from cyclograph.sources.versions import Manifest, VersionedTable, partition_of
+from cyclograph.sources.versions import Manifest, VersionedTable, described, partition_of
 
 
 def write_files(df: DataFrame, path: str, files: int | None = None) -> int:
@@ -100,11 +101,10 @@ class BatchAppender:
         table, tag = status_table(batch.sparkSession, self.path), f"batch {batch_id}"
         placed = batch.withColumns({"day": F.to_date(self.moment), "batch_id": F.lit(batch_id).cast("bigint")})
         base = table.current()
-        written = table.stage(placed, tag)
-        kept = {f: p for f, p in base.parts.items() if p.tag != tag}
-        before = base.rows - sum(p.rows for p in kept.values())
-        arrived = base.notes.get(_ARRIVED, 0) + sum(p.rows for p in written.values()) - before
-        table.commit(base, kept | written, {"schema": placed.schema.jsonValue(), _ARRIVED: arrived})
+        staged = table.stage(placed, tag)
+        kept = {f: t for f, t in base.parts.items() if t != tag}
+        arrived = base.notes.get(_ARRIVED, 0) + staged.rows - base.written.get(tag, 0)
+        table.commit(base, kept, staged, notes=described(placed) | {_ARRIVED: arrived})
 
 
 def arrived_rows(spark: SparkSession, path: str) -> int:
@@ -128,10 +128,10 @@ def compact(spark: SparkSession, path: str, before: str) -> list[str]:
         days.setdefault(folder.partition("/")[0], set()).add(partition_of(folder))
     merged = sorted(d for d, p in days.items() if d.removeprefix("day=") < before and p != {f"{d}/batch_id={COMPACTED}"})
     if merged:
-        old = {f: p for f, p in base.parts.items() if f.partition("/")[0] in merged}
-        rows = table.read(Manifest(base.number, old, base.notes)).withColumn("batch_id", F.lit(COMPACTED).cast("bigint"))
-        written = table.stage(rows, f"compacted {base.number + 1}")
-        table.commit(base, {f: p for f, p in base.parts.items() if f not in old} | written)
+        old = {f: t for f, t in base.parts.items() if f.partition("/")[0] in merged}
+        rows = table.read(replace(base, parts=old)).withColumn("batch_id", F.lit(COMPACTED).cast("bigint"))
+        staged = table.stage(rows, f"compacted {base.number + 1}")
+        table.commit(base, {f: t for f, t in base.parts.items() if f not in old}, staged)
     return [day.removeprefix("day=") for day in merged]
 
 
@@ -179,21 +179,21 @@ def record_results(
     table = results_table(results.sparkSession, path)
     base = table.current()
     placed = results.withColumn("recorded_day", F.to_date(day))
-    written = table.stage(placed, f"recorded {base.number + 1}", ["invocation_id"])
-    notes = {"schema": placed.schema.jsonValue()}
-    parts = dict(base.parts)
-    if parts:
-        recorded = table.read(Manifest(0, written, notes)).select("invocation_id")
-        ids = recorded if invocations is None else recorded.unionByName(invocations.select("invocation_id"))
-        ids, old = ids.distinct(), table.read(base)
+    staged = [table.stage(placed, f"recorded {base.number + 1}", ["invocation_id"])]
+    notes, kept = described(placed), base.parts
+    if kept:
+        new = Manifest(0, dict.fromkeys(staged[0].folders, ""), notes=notes)
+        ids = table.read(new).select("invocation_id")
+        ids = (ids if invocations is None else ids.unionByName(invocations.select("invocation_id"))).distinct()
+        old = table.read(base)
         touched = old.join(ids, "invocation_id", "left_semi").select("recorded_day").distinct()
         days = {f"recorded_day={'__HIVE_DEFAULT_PARTITION__' if r[0] is None else r[0]}" for r in touched.collect()}  # one a load day
-        if days:
-            stale = {f: p for f, p in parts.items() if partition_of(f) in days}
-            kept = table.read(Manifest(0, stale, base.notes)).join(ids, "invocation_id", "left_anti")
-            rewritten = table.stage(kept.select(*old.columns), f"kept {base.number + 1}", ["invocation_id"])
-            parts = {f: p for f, p in parts.items() if f not in stale} | rewritten
-    table.commit(base, parts | written, notes)
+        stale = {f: t for f, t in kept.items() if partition_of(f) in days}
+        if stale:
+            stays = table.read(replace(base, parts=stale)).join(ids, "invocation_id", "left_anti").select(*old.columns)
+            staged.append(table.stage(stays, f"kept {base.number + 1}", ["invocation_id"]))
+            kept = {f: t for f, t in kept.items() if f not in stale}
+    table.commit(base, kept, *staged, notes=notes)
 
 
 def upsert_partitions(

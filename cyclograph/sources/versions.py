@@ -1,6 +1,6 @@
 """Tables whose readers follow a pointer: a partition is either old or new, never missing.
 
-A write puts its rows into new folders, ``<partition>/version=<token>``, which nobody reads yet.
+A write puts its rows into new folders, ``<partition>/table_version=<token>``, which nobody reads yet.
 A small manifest then names the folders that make up the table, and replaces the one before in
 a single rename that fails if another writer was first. Whatever is cut short before that rename
 leaves the table as it was. The manifests are the commit ledger too: each says how many rows the
@@ -13,14 +13,13 @@ import json
 import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LEDGER = "_versions"
-VERSION = "version"
+VERSION = "table_version"
 KEPT_VERSIONS = 2
 """Manifests whose folders ``vacuum`` leaves, so that running readers end in peace."""
 
@@ -30,26 +29,27 @@ class LostRace(RuntimeError):
 
 
 @dataclass(frozen=True)
-class Part:
-    """A live folder: the tag of the write that made it, and its rows."""
+class Manifest:
+    """``parts``: each live folder and the tag of the write that made it; ``written``: the rows that
+    each of those writes brought."""
 
-    tag: str
-    rows: int
+    number: int = 0
+    parts: dict[str, str] = field(default_factory=dict)
+    written: dict[str, int] = field(default_factory=dict)
+    notes: dict = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
-class Manifest:
-    number: int = 0
-    parts: dict[str, Part] = field(default_factory=dict)
-    notes: dict = field(default_factory=dict)
+class Staged:
+    """Rows that lie beside a table and aren't part of it yet."""
 
-    @property
-    def rows(self) -> int:
-        return sum(p.rows for p in self.parts.values())
+    tag: str
+    folders: list[str]
+    rows: int
 
 
 def partition_of(folder: str) -> str:
-    """``day=2024-05-01`` of ``day=2024-05-01/version=ab12``."""
+    """``day=2024-05-01`` of ``day=2024-05-01/table_version=ab12``."""
     return folder.rpartition("/")[0]
 
 
@@ -78,8 +78,7 @@ class VersionedTable:
             text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
-        found = json.loads(text)
-        return Manifest(number, {f: Part(*p) for f, p in found["parts"].items()}, found["notes"])
+        return Manifest(number, **json.loads(text))
 
     def current(self) -> Manifest:
         """The latest manifest; an empty one, number 0, for a table that was never written."""
@@ -90,7 +89,7 @@ class VersionedTable:
         return [self._load(n) for n in self._numbers()]
 
     def _publish(self, manifest: Manifest) -> Manifest:
-        text = json.dumps({"parts": {f: [p.tag, p.rows] for f, p in manifest.parts.items()}, "notes": manifest.notes})
+        text = json.dumps({"parts": manifest.parts, "written": manifest.written, "notes": manifest.notes})
         aside, place = self._at(f"{LEDGER}/.{uuid.uuid4().hex}"), self._at(f"{LEDGER}/{manifest.number:012d}.json")
         stream = self._files.create(aside, False)
         stream.write(bytearray(text.encode("utf-8")))
@@ -110,45 +109,49 @@ class VersionedTable:
 
     # --- writing -------------------------------------------------------------------
 
-    def stage(self, df: DataFrame, tag: str, cluster: Sequence[str] = ()) -> dict[str, Part]:
-        """Write rows beside the table. Few files a partition; sorted by ``cluster`` inside each."""
+    def stage(self, df: DataFrame, tag: str, cluster: Sequence[str] = (), placed: bool = False) -> Staged:
+        """Write rows beside the table. Few files a partition; sorted by ``cluster`` inside each.
+
+        ``placed``: the rows already lie by partition, as those read from such a table do, so they
+        aren't shuffled once more.
+        """
         token = uuid.uuid4().hex[:16]
         counted = Observation()
         rows = df.observe(counted, F.count(F.lit(1)).alias("rows")).withColumn(VERSION, F.lit(token))
-        sized = rows.hint("rebalance", *[F.col(p) for p in self.partitions])
+        if not placed:
+            rows = rows.hint("rebalance", *[F.col(p) for p in self.partitions])
         if self.partitions or cluster:
-            sized = sized.sortWithinPartitions(*self.partitions, *cluster)
-        sized.write.mode("append").partitionBy(*self.partitions, VERSION).parquet(self.path)
+            rows = rows.sortWithinPartitions(*self.partitions, *cluster)
+        rows.write.mode("append").partitionBy(*self.partitions, VERSION).parquet(self.path)
         pattern = "/".join([*["*"] * len(self.partitions), f"{VERSION}={token}"])
         found = self._files.globStatus(self._at(pattern)) or []
         root = self._files.makeQualified(self._at("")).toUri().getPath().rstrip("/") + "/"
         folders = sorted(s.getPath().toUri().getPath().removeprefix(root) for s in found)
-        sizes = {folders[0]: counted.get["rows"]} if len(folders) == 1 else self._sizes(folders, root)
-        return {f: Part(tag, sizes[f]) for f in folders}
-
-    def _sizes(self, folders: Sequence[str], root: str) -> dict[str, int]:
-        """Rows of each folder; no column is read."""
-        if not folders:
-            return {}
-        rows = self.spark.read.option("basePath", self.path).parquet(*[f"{self.path}/{f}" for f in folders])
-        folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
-        counts = rows.groupBy(folder.alias("folder")).count().collect()  # one row a folder
-        return {unquote(r["folder"]).rpartition(root)[2]: r["count"] for r in counts}
-
-    def commit(self, base: Manifest, parts: dict[str, Part], notes: dict | None = None) -> Manifest:
-        """The table consists of ``parts`` from now on, unless it isn't at ``base`` any more."""
-        return self._publish(Manifest(base.number + 1, parts, base.notes | (notes or {})))
+        # A plan that is empty from the start reports no count.
+        return Staged(tag, folders, counted.get["rows"] if folders else 0)
+
+    def commit(self, base: Manifest, kept: dict[str, str], *staged: Staged, notes: dict | None = None) -> Manifest:
+        """From now on the table consists of the folders ``kept`` and the ``staged`` ones, unless
+        another writer came after ``base``: then LostRace is raised."""
+        parts = kept | {f: s.tag for s in staged for f in s.folders}
+        rows = base.written | {s.tag: s.rows for s in staged}
+        live = set(parts.values())
+        written = {t: n for t, n in rows.items() if t in live}
+        return self._publish(Manifest(base.number + 1, parts, written, base.notes | (notes or {})))
 
     def append(self, df: DataFrame, tag: str, cluster: Sequence[str] = (), notes: dict | None = None) -> Manifest:
         """Add rows; those that an earlier write of the same tag brought give way to them."""
         base = self.current()
-        kept = {f: p for f, p in base.parts.items() if p.tag != tag}
-        return self.commit(base, kept | self.stage(df, tag, cluster), _described(df, notes))
+        kept = {f: t for f, t in base.parts.items() if t != tag}
+        return self.commit(base, kept, self.stage(df, tag, cluster), notes=described(df) | (notes or {}))
 
-    def overwrite(self, df: DataFrame, cluster: Sequence[str] = (), notes: dict | None = None) -> Manifest:
+    def overwrite(
+        self, df: DataFrame, cluster: Sequence[str] = (), notes: dict | None = None, placed: bool = False
+    ) -> Manifest:
         """The rows become the whole table."""
         base = self.current()
-        return self.commit(base, self.stage(df, f"write {base.number + 1}", cluster), _described(df, notes))
+        staged = self.stage(df, f"write {base.number + 1}", cluster, placed)
+        return self.commit(base, {}, staged, notes=described(df) | (notes or {}))
 
     def replace(
         self,
@@ -157,6 +160,7 @@ class VersionedTable:
         cluster: Sequence[str] = (),
         notes: dict | None = None,
         base: Manifest | None = None,
+        placed: bool = False,
     ) -> Manifest:
         """The partitions that occur in ``df`` become its rows; those named in ``emptied`` go.
 
@@ -165,9 +169,15 @@ class VersionedTable:
         between, LostRace is raised instead of losing that writer's rows.
         """
         base = base or self.current()
-        written = self.stage(df, f"write {base.number + 1}", cluster)
-        gone = {partition_of(f) for f in written} | set(emptied)
-        return self.commit(base, {f: p for f, p in base.parts.items() if partition_of(f) not in gone} | written, _described(df, notes))
+        staged = self.stage(df, f"write {base.number + 1}", cluster, placed)
+        gone = {partition_of(f) for f in staged.folders} | set(emptied)
+        kept = {f: t for f, t in base.parts.items() if partition_of(f) not in gone}
+        return self.commit(base, kept, staged, notes=described(df) | (notes or {}))
+
+    def note(self, **notes) -> Manifest:
+        """A commit that changes nothing but the notes."""
+        base = self.current()
+        return self.commit(base, base.parts, notes=notes)
 
     # --- reading -------------------------------------------------------------------
 
@@ -202,5 +212,6 @@ class VersionedTable:
         return dead
 
 
-def _described(df: DataFrame, notes: dict | None) -> dict:
-    return {"schema": json.loads(df.schema.json()), **(notes or {})}
+def described(df: DataFrame) -> dict:
+    """What a reader must know of the rows."""
+    return {"schema": json.loads(df.schema.json())}

@@ -168,7 +168,7 @@ def test_batches_replay_and_compact(spark, tmp_path):
     assert sinks.compact(spark, path, "2024-05-04") == []
     table = sinks.status_table(spark, path)
     assert len(table.vacuum(1)) == 4 * 3 + 4 and stored() == list(range(40))
-    assert len(list((tmp_path / "status").rglob("version=*"))) == 3 + 4
+    assert len(list((tmp_path / "status").rglob("table_version=*"))) == 3 + 4
     assert not live.has_new_data(spark, str(tmp_path / "elsewhere"), 0)
 
 

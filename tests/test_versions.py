@@ -22,9 +22,9 @@ def test_names_and_empty_tables(spark, tmp_path):
     odd = spark.sql("SELECT explode(array('x y', 'p:q%', 'é', NULL, '7')) AS a, 1 AS b, map('k', 2) AS c")
     table = VersionedTable(spark, str(tmp_path / "odd"), ["a", "b"])
     manifest = table.overwrite(odd)
-    assert manifest.rows == 5 and {p.rows for p in manifest.parts.values()} == {1}
+    assert manifest.written == {"write 1": 5} and len(manifest.parts) == 5
     assert table.read().dtypes == odd.dtypes and sorted(map(str, table.read().collect())) == sorted(map(str, odd.collect()))
-    assert table.overwrite(odd.limit(0)).rows == 0 and table.read().count() == 0
+    assert table.overwrite(odd.limit(0)).written == {} and table.read().count() == 0
     with pytest.raises(ValueError, match="never written"):
         VersionedTable(spark, str(tmp_path / "none")).read()
 
@@ -34,7 +34,7 @@ def test_replaced_and_emptied_partitions(spark, table):
     table.replace(spark.createDataFrame([(100, 1), (101, 5)], "id bigint, day bigint"), ["day=0"])
     assert ids(table.read()) == sorted([*range(2, 30, 3), 100, 101])
     assert ids(before) == list(range(30))  # a reader that began earlier
-    assert table.current().rows == table.read().count()
+    assert table.current().written == {"write 1": 30, "write 2": 2}
 
 
 def test_a_day_is_old_or_new_between_the_steps_of_a_compaction(spark, tmp_path, monkeypatch):
@@ -107,7 +107,7 @@ def test_vacuum_leaves_what_recent_versions_name(spark, table, tmp_path):
     unfinished = table.stage(spark.createDataFrame([(9, 9)], "id bigint, day bigint"), "cut off")
     older = table.history()[-2]
     assert len(table.vacuum(2)) == 2
-    assert ids(table.read(older))[0] == 0 and (tmp_path / "t" / next(iter(unfinished))).exists()
+    assert ids(table.read(older))[0] == 0 and (tmp_path / "t" / unfinished.folders[0]).exists()
     assert [m.number for m in table.history()] == [3, 4] and table.vacuum(2) == []
 
 
