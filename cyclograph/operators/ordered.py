@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cyclograph.operators.ranges import with_joined_ranges
+
 PREVIOUS = "value_field_lag"
 
 
@@ -20,38 +22,23 @@ def breaks_in_order(
     """Rows for which ``broken`` (over ``value`` and PREVIOUS) holds against the row before.
 
     A plain window would pull one group - the whole table if there are none - into one
-    task. Instead the rows are range-partitioned by (groups, order): a frequent group or
-    sort value is spread over many ranges as long as ``order`` ends in a distinct column.
-    ``lag`` runs inside each range. Only the first row of a range lacks its predecessor,
-    so a second, tiny window over the first and last rows of the ranges supplies it.
+    task. Instead the rows are cut into ranges of (groups, order) that share their border rows,
+    and the range number is the key of the only shuffle: a frequent group or sort value is spread
+    over many ranges as long as ``order`` ends in a distinct column. ``lag`` runs inside each
+    range, where every row that is judged there has its predecessor.
     """
     sorting = [*groups, *order]
-    ranged = df.repartitionByRange(*[F.col(c) for c in sorting]).withColumn("__range", F.spark_partition_id())
-    inside = Window.partitionBy("__range").orderBy(*sorting)
+    inside = Window.partitionBy("__range").orderBy(*sorting, F.col("__own"))
     # Carry the whole previous row: a NULL value there must stay NULL.
     current = F.struct(F.col(value).alias("v"), *[F.col(g).alias(f"g{i}") for i, g in enumerate(groups)])
-    marked = ranged.withColumns(
-        {
-            "__before": F.lag(current).over(inside),
-            "__first": F.row_number().over(inside) == 1,
-            "__last": F.lead(F.lit(1)).over(inside).isNull(),
-        }
-    ).withColumn("__edge", F.col("__first") | F.col("__last"))
-
     same_group = F.lit(True)
     for i, group in enumerate(groups):
         same_group = same_group & F.col(group).eqNullSafe(F.col(f"__before.g{i}"))
-    previous = F.when(same_group, F.col("__before.v"))
-    kept = marked.withColumn(PREVIOUS, previous).filter(F.col("__edge") | broken)
-
-    # Edge rows: at most two per range. Breaks inside the ranges keep their own key and order.
-    bucket = F.when(F.col("__edge"), F.lit(-1)).otherwise(F.col("__range"))
-    seam = Window.partitionBy(bucket).orderBy(*sorting)
     return (
-        kept.withColumn(
-            "__before", F.when(F.col("__first"), F.lag(current).over(seam)).otherwise(F.col("__before"))
-        )
-        .withColumn(PREVIOUS, previous)
+        with_joined_ranges(df, sorting)
+        .withColumn("__before", F.lag(current).over(inside))
+        .filter("__own")
+        .withColumn(PREVIOUS, F.when(same_group, F.col("__before.v")))
         .filter(broken)
         .select(*df.columns, PREVIOUS)
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cyclograph.functions import calendar as cal
 from cyclograph.functions.casts import as_expression
 from cyclograph.functions.numeric import safe_log
+from cyclograph.operators.ranges import with_rows_before
 from cyclograph.plans.calendar_tables import bounds, spine_steps
 from cyclograph.quality.core import Check, Condition, where
 
@@ -54,7 +55,9 @@ def within_n_moving_stdevs(
     """Period sums against the mean and deviation of the periods before them.
 
     The windows see one row per group and period. Frames count rows: missing periods
-    are not filled in. A window without deviation passes.
+    are not filled in. A window without deviation passes. The periods are cut into ranges, and
+    each range carries along as many of the rows before it as its frames reach back, so no task
+    holds all periods.
     """
     keys = list(group_by or [])
     upper = sigma_threshold_upper if sigma_threshold_upper else sigma_threshold
@@ -62,12 +65,14 @@ def within_n_moving_stdevs(
     metric = safe_log if take_logs else (lambda c: F.coalesce(F.col(c), F.lit(0)))
 
     def violations(df: DataFrame) -> DataFrame:
-        ordered = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy("metric_period")
+        ordered = Window.partitionBy("__range", *[F.col(f"`{k}`") for k in keys]).orderBy("metric_period")
         trend = ordered.rowsBetween(-trend_periods, -1)
         groups = [as_expression(k).alias(k) for k in keys]
         sums = df.groupBy(cal.truncate(as_expression(date_column), period).alias("metric_period"), *groups).agg(
             F.sum(as_expression(column)).alias("agg_metric_value")
         )
+        reach = trend_periods + (lookback_periods if take_diffs else 0)
+        sums = with_rows_before(sums, [*keys, "metric_period"], reach)
         tested = metric("agg_metric_value")
         if take_diffs:
             sums = sums.withColumn(
@@ -91,7 +96,8 @@ def within_n_moving_stdevs(
         recent = (F.col("metric_period") >= cal.add_parts(this_period, -test_periods, period)) & (
             F.col("metric_period") < this_period
         )
-        return scored.filter(recent & ~F.col("metric_test_sigma").between(lower, upper))
+        own = scored.filter("__own").drop("__range", "__own")
+        return own.filter(recent & ~F.col("metric_test_sigma").between(lower, upper))
 
     return Check(f"within_n_moving_stdevs_{column}", violations)
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cyclograph.functions import numeric, text
 from cyclograph.functions.casts import guarded_cast
 from cyclograph.functions.geo import EARTH_RADIUS_M
-from cyclograph.operators import correlation, nearby, ordered, quantiles
+from cyclograph.operators import correlation, nearby, ordered, quantiles, ranges
 from cyclograph.operators import regression as reg
 from cyclograph.operators.dedup import keep_first, upsert
 from cyclograph.quality.values import values_to_be_increasing
@@ -92,6 +92,36 @@ def test_ordered_lag_has_no_unpartitioned_window(spark):
     assert "SinglePartition" not in plan
 
 
+@pytest.mark.parametrize("n", [0, 1, 19, 20, 21, 500])
+def test_ranges_that_share_their_border_rows(spark, n):
+    rows = spark.range(n).select((F.col("id") * 7 % 11).alias("a"), F.when(F.col("id") % 5 > 0, F.col("id")).alias("b"))
+    placed = ranges.with_joined_ranges(rows, ["a", "b"], ranges=6).collect()
+    own = [r for r in placed if r["__own"]]
+    key = lambda r: (r["a"], r["b"] is not None, r["b"] or 0)
+    assert sorted(map(key, own)) == sorted(map(key, rows.collect()))
+    ends = {r["__range"]: max(key(x) for x in own if x["__range"] == r["__range"]) for r in own}
+    begins = {r["__range"]: key(r) for r in placed if not r["__own"]}
+    assert all(ends[k - 1] == v for k, v in begins.items()) and len(begins) == max(0, len({r["__range"] for r in placed}) - 1)
+    if n == 500:
+        assert len(ends) > 3
+
+
+@pytest.mark.parametrize("reach", [1, 3, 40])
+@pytest.mark.parametrize("groups", [[], ["g"]])
+def test_ranges_with_the_rows_before_equal_a_plain_window(spark, groups, reach):
+    rows = spark.range(400).select(
+        F.when(F.col("id") % 4 > 0, F.lit("hot")).when(F.col("id") % 8 > 0, F.lit("cold")).alias("g"),
+        F.when(F.col("id") != 77, F.col("id") * 37 % 401).alias("p"),
+        (F.col("id") * F.col("id") % 13).alias("v"),
+    )
+    frame = lambda *by: Window.partitionBy(*by).orderBy("p").rowsBetween(-reach, -1)
+    carried = ranges.with_rows_before(rows, [*groups, "p"], reach, ranges=8)
+    assert carried.select("__range").distinct().count() > 4
+    found = carried.withColumn("s", F.sum("v").over(frame("__range", *groups))).filter("__own").select("p", "v", "s")
+    expected = rows.withColumn("s", F.sum("v").over(frame(*groups))).select("p", "v", "s")
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+
+
 @pytest.mark.parametrize("quantile", [0.0, 0.25, 0.5, 0.9, 1.0])
 @pytest.mark.parametrize("groups", [[], ["g"]])
 def test_quantile_routes_agree(spark, quantile, groups):

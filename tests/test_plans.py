@@ -61,6 +61,18 @@ def test_correlation_reads_the_mart_once(spark):
     assert len(scans(plan(spark, "ag4_ag5_ag6_ag16_correlation"))) == len(scans(plan(spark, "ag3_station_day")))
 
 
+@pytest.mark.parametrize("name", ["dq31_wn4_values_increasing", "dq31_increasing_per_expression", "dq32_decreasing_per_expression"])
+def test_ordered_checks_shuffle_once(spark, name):
+    text = plan(spark, name)
+    assert text.count("Exchange ") == 1 and "Exchange hashpartitioning(__range" in text
+
+
+@pytest.mark.parametrize("name", ["wn5_wn6_moving_statistics", "dq71_wn5_wn6_within_n_moving_stdevs", "dq71_moving_stdevs_per_expression"])
+def test_moving_statistics_have_no_single_task_window(spark, name):
+    text = plan(spark, name)
+    assert "SinglePartition" not in text and "NestedLoop" not in text
+
+
 def test_fused_suite_scans_once(spark):
     assert len(scans(plan(spark, "dq_suite_one_pass"))) == 1
 
