@@ -20,7 +20,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
@@ -106,17 +106,7 @@ def _sets(column: pa.Array) -> Iterator[np.ndarray]:
             yield shingles(words.hashes[a:b])
 
 
-def node_of(text: str):
-    """Column: the identity of a text's set."""
-
-    @arrow_udf("binary")
-    def node(texts: pa.Array) -> pa.Array:
-        return pa.array([digest(s) for s in _sets(texts)], pa.binary())
-
-    return node(F.col(f"`{text}`"))
-
-
-SKETCH = "doc_id {kind}, node binary, n int, sketch binary, paths array<bigint>"
+SKETCH = "doc_id {kind}, text_key bigint, node binary, n int, sketch binary, paths array<bigint>"
 
 
 def _sketches(batches: Iterator[pa.RecordBatch], runs: int) -> Iterator[pa.RecordBatch]:
@@ -139,12 +129,13 @@ def _sketches(batches: Iterator[pa.RecordBatch], runs: int) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0),
+                batch.column(2),
                 pa.array(nodes, pa.binary()),
                 pa.array(sizes, pa.int32()),
                 pa.array(sketches, pa.binary()),
                 pa.array(paths, pa.list_(pa.int64())),
             ],
-            names=["doc_id", "node", "n", "sketch", "paths"],
+            names=["doc_id", "text_key", "node", "n", "sketch", "paths"],
         )
 
 
@@ -257,12 +248,22 @@ def overlaps(sets: list[np.ndarray], left: list[int], right: list[int]) -> Itera
         yield i, hit[hit != i]
 
 
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of ordered rows (unit, .., node, ..) the first of each node of a unit: repeats of a row aren't held."""
+    last = None
+    for batch in batches:
+        keep = np.ones(batch.num_rows, bool)
+        for i, now in enumerate(zip(batch.column("unit").to_pylist(), batch.column("node").to_pylist())):
+            keep[i], last = now != last, now
+        yield batch if keep.all() else batch.filter(pa.array(keep))
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Exact join of each unit (unit, pair, block, node, copies, text): links of each set, and its class so far.
 
     A unit is one block against itself, or, as a pair, one block against another.
     """
-    for _, rows in _groups(batches):
+    for _, rows in _groups(_once(batches)):
         pair = rows[0][1]
         known: dict[bytes, tuple[int, int, np.ndarray]] = {}
         for (_, _, block, node, copies, _), tokens in zip(rows, _sets(pa.array([r[5] for r in rows], pa.large_string()))):
@@ -293,10 +294,19 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def id_key(doc_id: str) -> Column:
+    return F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
+
+
+def text_key() -> Column:
+    """With the doc_id, what tells a row's text from others: ids may be null or repeated."""
+    return F.xxhash64("text").alias("text_key")
+
+
 def _exact(documents: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(node, links, root) of the nodes on candidate edges, from their whole texts."""
+    """(node, links, root) of the nodes on candidate edges, from the whole text of one row of each."""
     group = components(edges).select(F.col("vertex").alias("node"), F.col("root").alias("grouped"))
-    members = materialize(nodes.select("node", "n", "copies", "doc_id").join(group, "node"), "join-groups")
+    members = materialize(nodes.select("node", "n", "copies", "row").join(group, "node"), "join-groups")
     heavy = members.groupBy("grouped").agg(F.ceil(2 * F.sum("n") / UNIT_SHINGLES).cast("int").alias("blocks")).filter("blocks > 2")
     cut = members.join(heavy, "grouped", "left").withColumn(
         "block", F.when(F.col("blocks").isNull(), 0).otherwise(F.pmod(F.xxhash64("node"), F.col("blocks"))).cast("int")
@@ -305,14 +315,14 @@ def _exact(documents: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFram
     units = cut.select("*", partner.alias("other")).select(
         F.xxhash64("grouped", F.least("block", "other"), F.greatest("block", "other")).alias("unit"),
         (F.col("block") != F.col("other")).alias("pair"),
-        "block", "node", "copies", F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key"),
+        "block", "node", "copies", id_key("row.doc_id").alias("key"), F.col("row.text_key").alias("text_key"),
     )
-    texts = documents.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key"), "text")
+    texts = documents.select(id_key("doc_id").alias("key"), text_key(), "text")
     found = (
-        texts.join(units.hint("merge"), "key")  # alike at every size: no broadcast while the groups are few
+        texts.join(units.hint("merge"), ["key", "text_key"])  # alike at every size: no broadcast while the groups are few
         .select("unit", "pair", "block", "node", "copies", "text")
         .repartition("unit")
-        .sortWithinPartitions("unit")
+        .sortWithinPartitions("unit", "node")
         .mapInArrow(_verify, "node binary, links bigint, root binary")
     )
     found = materialize(found, "join-links")
@@ -324,7 +334,7 @@ def _exact(documents: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFram
 
 
 def join_texts(documents: DataFrame) -> DataFrame:
-    """(doc_id, node, class_node, class_id, n_links) for every row of ``documents`` (doc_id, text).
+    """(doc_id, text_key, node, class_node, class_id, n_links) for every row of ``documents`` (doc_id, text).
 
     Two documents are linked if the Jaccard similarity of their sets reaches THRESHOLD; n_links
     counts the documents a row is linked with, copies too. A class is a connected component of
@@ -335,12 +345,14 @@ def join_texts(documents: DataFrame) -> DataFrame:
     kind = dict(documents.dtypes)["doc_id"]
     documents = documents.select("doc_id", "text")
     runs = runs_for(RECALL)
-    rows = materialize(documents.mapInArrow(lambda b: _sketches(b, runs), SKETCH.format(kind=kind)), "join-sketches")
+    keyed = documents.select("doc_id", "text", text_key())
+    rows = materialize(keyed.mapInArrow(lambda b: _sketches(b, runs), SKETCH.format(kind=kind)), "join-sketches")
     nodes = materialize(
         rows.filter("n > 0")
         .groupBy("node")
         .agg(
             F.min("doc_id").alias("doc_id"),
+            F.min(F.struct("doc_id", "text_key")).alias("row"),
             F.count("*").alias("copies"),
             F.first("n").alias("n"),
             F.first("sketch").alias("sketch"),
@@ -356,8 +368,9 @@ def join_texts(documents: DataFrame) -> DataFrame:
         "node", F.col("root").alias("class_node"), "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
     )
     worded = F.col("n") > 0
-    return rows.select("doc_id", "node", "n").join(of_node, "node", "left").select(
+    return rows.select("doc_id", "text_key", "node", "n").join(of_node, "node", "left").select(
         "doc_id",
+        "text_key",
         "node",
         F.coalesce("class_node", "node").alias("class_node"),
         F.when(worded, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
@@ -368,20 +381,17 @@ def join_texts(documents: DataFrame) -> DataFrame:
 def one_of_each(documents: DataFrame) -> DataFrame:
     """One row of each class of ``documents``, all columns as they were: the one of the least doc_id.
 
-    Rows without words are copies of no row and all stay, but for repeats of a whole row with its
-    doc_id. Of rows alike in id and words, any one stays.
+    Rows without words are copies of no row and all stay. Of rows alike in id and text, any one
+    stays. Null ids and repeated ids stay rows of their own; columns of any name come back as they were.
     """
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    ranked = join_texts(documents).withColumn(
-        "__nth",
-        F.row_number().over(Window.partitionBy("class_node").orderBy(F.col("doc_id").asc_nulls_last(), "node")),
-    )
-    first = ranked.filter((F.col("__nth") == 1) & (F.col("node") != F.lit(NO_WORDS)))
-    kept = first.select(key.alias("__key"), F.col("node").alias("__node"))
-    named = documents.withColumn("__key", key).withColumn("__node", node_of("text"))
-    columns = [F.col(f"`{c}`") for c in documents.columns]
-    worded = named.join(kept, ["__key", "__node"], "left_semi").dropDuplicates(["__key", "__node"]).select(*columns)
+    ranked = materialize(join_texts(documents).withColumn("key", id_key("doc_id")).drop("class_id", "n_links"), "join-ranked")
+    order = [F.col("doc_id").asc_nulls_last(), "node", "text_key"]
+    nth = F.row_number().over(Window.partitionBy("class_node").orderBy(*order))
+    first = ranked.filter(F.col("node") != F.lit(NO_WORDS)).withColumn("nth", nth).filter("nth = 1").select("key", "text_key")
+    repeated = ranked.groupBy("key", "text_key").agg(F.count("*").alias("m")).filter("m > 1")
+    named = documents.select(F.struct("*").alias("row"), id_key("doc_id").alias("key"), text_key())
+    keys = ["key", "text_key"]
+    single = named.join(first.join(repeated, keys, "left_anti"), keys, "left_semi")
+    several = named.join(first.join(repeated, keys, "left_semi"), keys, "left_semi").dropDuplicates(keys)
     empty = documents.filter(~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
-    whole = F.sha2(F.to_json(F.struct(*columns)), 256)
-    once = empty.filter("doc_id IS NOT NULL").withColumn("__row", whole).dropDuplicates(["__row"]).select(*columns)
-    return worded.unionAll(once).unionAll(empty.filter("doc_id IS NULL"))
+    return single.select("row.*").unionAll(several.select("row.*")).unionAll(empty)

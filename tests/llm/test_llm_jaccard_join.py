@@ -85,17 +85,51 @@ def test_one_of_each(spark, joined):
     assert sorted(kept) == sorted(i for i, (c, _) in found.items() if c == i)
     twice = docs.unionAll(docs).unionAll(documents(spark, ["no id"], 0).selectExpr("cast(null as bigint) doc_id", "text", "lang", "source", "n_chars"))
     again = Counter(r["doc_id"] for r in jj.one_of_each(twice).collect())
-    assert again == Counter([*kept, None])
+    empty = Counter(i for i, t in enumerate(texts) if not (t or "").split())
+    assert again == Counter([*kept, None]) + empty  # rows without words are no copies
 
 
 def test_one_of_each_keeps_rows_without_words(spark):
-    """They are no copies: all without an id stay, and those of one id that differ in anything."""
+    """They are no copies: all of them stay, whatever their ids."""
     docs = documents(spark, [None, "", " \n", None, "a b", "a b"])
-    no_id = docs.withColumn("doc_id", F.lit(None).cast("bigint"))
-    one_id = docs.withColumn("doc_id", F.lit(7).cast("bigint"))
-    assert Counter(r["text"] for r in jj.one_of_each(no_id).collect()) == {None: 2, "": 1, " \n": 1, "a b": 1}
-    kept = jj.one_of_each(one_id.unionAll(one_id).withColumn("source", F.col("n_chars").cast("string"))).collect()
-    assert Counter(r["text"] for r in kept) == {None: 1, "": 1, " \n": 1, "a b": 1}
+    for doc_id in (None, 7):
+        same_id = docs.withColumn("doc_id", F.lit(doc_id).cast("bigint"))
+        assert Counter(r["text"] for r in jj.one_of_each(same_id).collect()) == {None: 2, "": 1, " \n": 1, "a b": 1}
+
+
+def test_clashing_columns_come_back_as_they_were(spark):
+    docs = documents(spark, ["a b c", "a b c", "other words", None])
+    for name in ("__key", "key", "text_key", "Node", "nth", "row", "m", "class_node"):
+        docs = docs.withColumn(name, F.lit(7))
+    docs = docs.withColumn("map", F.create_map(F.lit("k"), F.lit(1)))
+    kept = jj.one_of_each(docs)
+    assert kept.columns == docs.columns
+    rows = kept.collect()
+    assert sorted(r["doc_id"] for r in rows) == [0, 2, 3] and {r["__key"] for r in rows} == {r["Node"] for r in rows} == {7}
+
+
+@pytest.mark.parametrize("doc_id", [None, 5])
+def test_null_and_repeated_ids_do_not_multiply(spark, doc_id, tmp_path, monkeypatch):
+    """Rows into the exact join stay a small multiple of the rows; a pair each, and one text 300 times."""
+    texts = [" ".join(prose(i // 2, 60)[: 60 - i % 2]) for i in range(600)] + [" ".join(prose(999, 40))] * 300 + [" ".join(prose(999, 40)[1:])]
+    docs = documents(spark, texts).withColumn("doc_id", F.lit(doc_id).cast("bigint")).repartition(4)
+    real, log = jj._once, str(tmp_path)
+
+    def counted(batches):
+        import uuid
+
+        n = 0
+        for batch in batches:
+            n += batch.num_rows
+            yield from real([batch])
+        with open(f"{log}/{uuid.uuid4().hex}", "w") as out:
+            out.write(str(n))
+
+    monkeypatch.setattr(jj, "_once", counted)
+    rows = jj.join_texts(docs).collect()
+    assert Counter(r["n_links"] for r in rows) == {1: 600, 300: 301}
+    assert 0 < sum(int(f.read_text()) for f in tmp_path.iterdir()) <= 2 * len(texts)
+    assert jj.one_of_each(docs).count() == 301
 
 
 def test_odd_rows(spark):
