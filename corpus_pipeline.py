@@ -16,17 +16,18 @@ from cyclograph.llm import decontamination, jaccard_join, language_id, mixing, s
 from cyclograph.llm.words import small_batches
 from cyclograph.session import materialize
 
-LEAST_SCORE = 0.5
 SHARDS = 8
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text is in a known language with a score of LEAST_SCORE or more."""
+    """Documents whose text is in a learned language: its n-grams are as usual there, in the measure
+    of the language's own texts. The posterior alone would call any text one of the languages."""
     kept_back = language_id.held_out(F.col("doc_id"))
     model = language_id.fit(docs.filter(~kept_back & F.col("doc_id").isNotNull()))
-    judged = language_id.predict(docs, model, into=("__lang_pred", "__score"))
-    known = (F.col("__lang_pred") != language_id.UNKNOWN) & (F.col("__score") >= LEAST_SCORE)
-    return judged.filter(known).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(F.struct("*").alias("row"), "text")
+    judged = language_id.predict(rows, model, into=("lang_pred", "score", "typical"))
+    known = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("typical") >= language_id.LEAST_TYPICAL)
+    return judged.filter(known).select("row.*")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -116,10 +116,12 @@ def compile_passages(items: list[tuple[str, str]], window: int = WINDOW) -> Pass
     return Passages(by_length, [name for name, _ in items])
 
 
-def matches(terms: np.ndarray, offsets: np.ndarray, positions: np.ndarray, wanted: np.ndarray, slop: int = 0):
-    """(row of ``wanted``, positions at which it begins) for each passage found in a segment.
+def matches(terms: np.ndarray, offsets: np.ndarray, positions: np.ndarray, wanted: np.ndarray, base: np.ndarray, counts: np.ndarray, slop: int = 0):
+    """(row of ``wanted``, place of its rarest term, begin, exact) of each passage found in a segment.
 
-    Each further term must stand within ``slop`` words of its place after the rarest term's.
+    Lists are met from the rarest term on. Each further term must stand within ``slop`` words of
+    its place after the rarest term's, in the same document; ``exact`` where all stand just there.
+    ``base`` and ``counts``: first position and number of words of the segment's documents.
     """
     if not len(terms):
         return
@@ -132,15 +134,21 @@ def matches(terms: np.ndarray, offsets: np.ndarray, positions: np.ndarray, wante
             t = place[row, j]
             listed = positions[offsets[t] : offsets[t + 1]].astype(np.int64) - j
             if at is None:
-                at = listed
+                at, exact = listed, np.ones(len(listed), bool)
+                doc = np.searchsorted(base, at + j, "right") - 1
+                low, high = base[doc], base[doc] + counts[doc] - 1
                 continue
-            low = np.searchsorted(listed, at - slop)
-            near = listed[np.minimum(low, len(listed) - 1)]
-            at = at[(near >= at - slop) & (near <= at + slop)]
+            same = listed[np.minimum(np.searchsorted(listed, at), len(listed) - 1)] == at
+            if slop:
+                nearest = listed[np.minimum(np.searchsorted(listed, np.maximum(at - slop, low - j)), len(listed) - 1)]
+                stays = (nearest >= np.maximum(at - slop, low - j)) & (nearest <= np.minimum(at + slop, high - j))
+            else:
+                stays = same
+            at, exact, low, high = at[stays], (exact & same)[stays], low[stays], high[stays]
             if not len(at):
                 break
         if len(at):
-            yield row, at
+            yield row, at + order[0], at, exact
 
 
 def _search(batches: Iterator[pa.RecordBatch], passages: Passages, slop: int) -> Iterator[pa.RecordBatch]:
@@ -155,17 +163,18 @@ def _search(batches: Iterator[pa.RecordBatch], passages: Passages, slop: int) ->
             base = np.cumsum(counts + _gap()) - counts - _gap()
             covered = np.zeros(int(counts.sum()) + _gap() * (len(counts) + 1) + 1, np.int32)
             pairs: set[tuple[int, int]] = set()
-            near = np.zeros(len(counts), np.int64)
+            near: list[dict[str, set[int]]] = [{} for _ in counts]
             for k, (wanted, starts, owners) in passages.by_length.items():
-                for row, at in matches(terms, offsets, positions, wanted):
-                    np.add.at(covered, at, 1)
-                    np.add.at(covered, at + k, -1)
-                    docs = np.unique(np.searchsorted(base, at, "right") - 1)
-                    pairs.update((int(d), int(i)) for d in docs for i in owners[starts[row] : starts[row + 1]])
-                if slop:
-                    for _, at in matches(terms, offsets, positions, wanted, slop):
-                        at = np.clip(at, 0, None)
-                        np.add.at(near, np.searchsorted(base, at, "right") - 1, 1)
+                for row, anchor, at, exact in matches(terms, offsets, positions, wanted, base, counts, slop):
+                    of_row = owners[starts[row] : starts[row + 1]]
+                    docs = np.searchsorted(base, anchor, "right") - 1
+                    np.add.at(covered, at[exact], 1)
+                    np.add.at(covered, at[exact] + k, -1)
+                    pairs.update((int(d), int(i)) for d in np.unique(docs[exact]) for i in of_row)
+                    if slop:
+                        for d, word in zip(docs.tolist(), (anchor - base[docs]).tolist()):
+                            for i in of_row:
+                                near[d].setdefault(names[i], set()).add(word)
             hit = np.flatnonzero(np.cumsum(covered) > 0)
             owner = np.searchsorted(base, hit, "right") - 1
             cuts = np.searchsorted(owner, np.arange(len(counts) + 1))
@@ -182,22 +191,25 @@ def _search(batches: Iterator[pa.RecordBatch], passages: Passages, slop: int) ->
                     "n_words": pa.array(counts, pa.int64()),
                     "hit_words": pa.array([hit[a:b] for a, b in zip(cuts, cuts[1:])], pa.list_(pa.int64())),
                     "items": pa.array([sorted(set(items.get(d, ()))) for d in range(len(counts))], pa.list_(pa.string())),
-                    "n_near": pa.array(near, pa.int64()),
+                    "near": pa.array([[{"item": i, "words": sorted(found[i])} for i in sorted(found)] for found in near], NEAR),
                 }
             )
 
 
+NEAR = pa.list_(pa.struct([("item", pa.string()), ("words", pa.list_(pa.int64()))]))
+
 FOUND = (
     "segment bigint, ordinal int, doc_id string, text_key bigint, n_words bigint, hit_words array<bigint>,"
-    " items array<string>, n_near bigint"
+    " items array<string>, near array<struct<item: string, words: array<bigint>>>"
 )
 
 
 def search(index: DataFrame, passages: Passages, slop: int = 0) -> DataFrame:
     """Rows for every indexed document: its number of words, the places of words inside exact
-    passages, the items they belong to, and with ``slop`` the number of proximity matches."""
-    shared = index.sparkSession.sparkContext.broadcast(passages)
-    return index.mapInArrow(lambda batches: _search(batches, shared.value, slop), FOUND)
+    passages, the items they belong to, and with ``slop`` the proximity matches by item: the places of
+    the words at which the passages' rarest terms stand."""
+    shared = index.sparkSession.sparkContext.broadcast((passages.by_length, passages.items))
+    return index.mapInArrow(lambda batches: _search(batches, Passages(*shared.value), slop), FOUND)
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[Passages]:
@@ -213,10 +225,12 @@ def _blocks(benchmark: DataFrame) -> Iterator[Passages]:
 
 def contamination(documents: DataFrame, benchmark: DataFrame, slop: int = 0) -> DataFrame:
     """One row for every row of ``documents`` (doc_id, text), with what it shares with ``benchmark``
-    (item_id, text): doc_id as string, text_key, n_words, hit_words, items, n_near.
+    (item_id, text): doc_id as string, text_key, n_words, hit_words, items, near.
 
     A word is hit if it lies inside any occurrence of a run of WINDOW words of an item, or of a
-    whole shorter item. Null or empty texts have no words and no hits; an item id that is null is
+    whole shorter item. With ``slop``, ``near`` lists the items of which a run stands in the document
+    with each word at most ``slop`` words from its place after the run's rarest one (exact
+    occurrences too), and the places of those rarest words. Null or empty texts have no words and no hits; an item id that is null is
     the empty string; rows of one item id count as one item. The benchmark is read in blocks of
     BLOCK_BYTES, whatever its size; more than one block means that the index keeps all terms.
     """
@@ -236,7 +250,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, slop: int = 0) ->
             F.first("n_words").alias("n_words"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit_words")))).alias("hit_words"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-            F.sum("n_near").alias("n_near"),
+            F.flatten(F.collect_list("near")).alias("near"),
         )
         .drop("segment", "ordinal")
     )
@@ -248,8 +262,9 @@ def is_contaminated(found: DataFrame):
 
 
 def remove_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents, all columns as they were, without the contaminated ones."""
+    """The documents, all columns as they were whatever their names, without the contaminated ones."""
     found = contamination(documents, benchmark)
-    bad = found.filter(is_contaminated(found)).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct()
-    same = F.col("doc_id").cast("string").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__key"))
-    return documents.join(bad, same, "left_anti")
+    bad = found.filter(is_contaminated(found)).select(F.col("doc_id").alias("id"), F.col("text_key").alias("key")).distinct()
+    rows = documents.select(F.struct("*").alias("row"), F.col("doc_id").cast("string").alias("own_id"), F.xxhash64("text").alias("own_key"))
+    same = F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_key") == F.col("key"))
+    return rows.join(bad, same, "left_anti").select("row.*")

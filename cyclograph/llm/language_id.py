@@ -16,24 +16,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from cyclograph.llm.columns import free_name, named, others
 from cyclograph.llm.words import text_chunks
 
 BUCKETS = 1 << 16
 LENGTHS = (1, 2, 3)
 SMOOTHING = 0.1
 UNKNOWN = "und"
-LONG_TEXT = 1 << 17
+
+LEAST_TYPICAL = -20.0
+"""Standard deviations below the usual log-probability of a language's n-grams at which a text isn't in it."""
 
 _BLANK = 32
 
 
 @dataclass(frozen=True)
 class Model:
-    """Learned languages in order, and the log-probability of each bucket; the last row is zero."""
+    """Learned languages in order, and the log-probability of each bucket; the last row is zero.
+
+    ``usual``: for each language the mean log-probability of an n-gram over its texts, the variance
+    of that between texts, and the variance of n-grams inside a text.
+    """
 
     languages: tuple[str, ...]
     prior: np.ndarray
     weights: np.ndarray
+    usual: np.ndarray
 
 
 _TABLES: dict[str, np.ndarray] = {}
@@ -83,9 +91,9 @@ def bucket_numbers(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, n
     return rows, at
 
 
-def scores(column: pa.Array, weights: np.ndarray) -> np.ndarray:
-    """Summed log-probabilities, texts x languages."""
-    out = np.zeros((len(column), weights.shape[1]))
+def scores(column: pa.Array, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(summed log-probabilities, texts x languages; number of n-grams of each text)."""
+    out, n = np.zeros((len(column), weights.shape[1])), np.zeros(len(column), np.int64)
     limit = max(1 << 14, (1 << 21) // max(4, weights.shape[1]))
     for row, data, offsets in text_chunks(column, limit):
         if not len(data):
@@ -93,13 +101,30 @@ def scores(column: pa.Array, weights: np.ndarray) -> np.ndarray:
         rows, at = bucket_numbers(data, offsets)
         full = np.flatnonzero(np.diff(at))
         for buckets in rows:
-            if len(full) == 1 and len(buckets) > LONG_TEXT // 4:
+            n[row + full] += np.add.reduceat(buckets != BUCKETS, at[full])
+            if len(data) > limit:  # such a text is alone, whatever its neighbours
                 counts = np.bincount(buckets, minlength=BUCKETS + 1)
                 used = np.flatnonzero(counts)
                 out[row + full[0]] += counts[used] @ weights[used]
             else:
                 out[row + full] += np.add.reduceat(weights[buckets], at[full], axis=0)
-    return out
+    return out, n
+
+
+def _usual(batches: Iterator[pa.RecordBatch], weights: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """For each language of (language, text): texts, and sums of their n-grams' mean log-probability, its
+    square, and the variance inside the text."""
+    total = np.zeros((weights.shape[1], 4))
+    both = np.hstack([weights, weights**2])
+    for batch in batches:
+        language = batch.column(0).to_numpy(zero_copy_only=False)
+        summed, n = scores(batch.column(1), both)
+        full = n > 0
+        language, n = language[full], n[full]
+        mean, square = (summed[full, language + k * weights.shape[1]] / n for k in (0, 1))
+        np.add.at(total, language, np.stack([np.ones(len(n)), mean, mean**2, np.maximum(square - mean**2, 0)], axis=1))
+    columns = [pa.array(np.arange(len(total), dtype=np.int32)), *[pa.array(total[:, k]) for k in range(4)]]
+    yield pa.RecordBatch.from_arrays(columns, ["language", "n", "mean", "square", "inside"])
 
 
 def _counts(batches: Iterator[pa.RecordBatch], n_languages: int) -> Iterator[pa.RecordBatch]:
@@ -140,7 +165,7 @@ def fit(labelled: DataFrame, rows_per_language: int = 3000, max_languages: int =
     if len(sizes) > max_languages:
         raise ValueError(f"over {max_languages} languages")
     if not sizes:
-        return Model((), np.zeros(0), np.zeros((BUCKETS + 1, 0)))
+        return Model((), np.zeros(0), np.zeros((BUCKETS + 1, 0)), np.zeros((0, 3)))
     languages = tuple(sizes)
     known = spark.createDataFrame(
         [(i, name, min(1.0, rows_per_language / n)) for i, (name, n) in enumerate(sizes.items())],
@@ -159,38 +184,61 @@ def fit(labelled: DataFrame, rows_per_language: int = 3000, max_languages: int =
     weights = np.zeros((BUCKETS + 1, len(languages)))
     weights[:-1] = np.log((counts + SMOOTHING) / (counts.sum(axis=0) + SMOOTHING * BUCKETS))
     rows = np.array([sizes[name] for name in languages], float)
-    return Model(languages, np.log(rows / rows.sum()), weights)
+    shared = spark.sparkContext.broadcast(weights)
+    kinds = "language int, n double, mean double, square double, inside double"
+    parts = sample.mapInArrow(lambda batches: _usual(batches, shared.value), kinds)
+    found = parts.groupBy("language").agg(*[F.sum(c).alias(c) for c in ("n", "mean", "square", "inside")]).toArrow().sort_by("language")
+    n, mean, square, inside = (found[c].to_numpy() / np.maximum(found["n"].to_numpy(), 1) for c in ("n", "mean", "square", "inside"))
+    usual = np.zeros((len(languages), 3))
+    usual[found["language"].to_numpy()] = np.stack([mean, np.maximum(square - mean**2, 0), inside], axis=1)
+    return Model(languages, np.log(rows / rows.sum()), weights, usual)
+
+
+def typicality(total: np.ndarray, n: np.ndarray, best: np.ndarray, usual: np.ndarray) -> np.ndarray:
+    """How many standard deviations a text's mean log-probability lies above its language's usual one.
+
+    The posterior says which language is the likeliest; this says whether the text is like that
+    language at all, and doesn't grow with the text's length.
+    """
+    mean, between, inside = usual[best].T
+    own = total[np.arange(len(best)), best] / np.maximum(n, 1)
+    spread = np.sqrt(between + inside / np.maximum(n, 1))
+    return np.where((n > 0) & (spread > 0), (own - mean) / np.where(spread > 0, spread, 1), 0.0)
 
 
-def predict(df: DataFrame, model: Model, text: str = "text", into: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+def predict(df: DataFrame, model: Model, text: str = "text", into: tuple[str, ...] = ("lang_pred", "score")) -> DataFrame:
     """Add the predicted language of every whole text and its posterior probability (0 to 1).
 
-    Texts that are null or hold no letter get ``und`` with score 0. Equal scores go to the first
-    language in order. All rows and columns stay; columns named like the new ones are replaced.
+    A third name in ``into`` asks for the text's ``typicality`` too. Texts that are null or hold no
+    letter get ``und`` with score and typicality 0. Equal scores go to the first language in order. All
+    rows and columns stay; columns named like the new ones, whatever their case, are replaced.
     """
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    languages, usual = model.languages, model.usual
+    shared = df.sparkSession.sparkContext.broadcast((model.prior, model.weights))
 
-    @arrow_udf("struct<lang: string, score: double>")
+    @arrow_udf("struct<lang: string, score: double, typical: double>")
     def language(texts: pa.Array) -> pa.Array:
-        learned = shared.value
-        total = scores(texts, learned.weights) + learned.prior
+        prior, weights = shared.value
+        likely, n = scores(texts, weights)
+        total = likely + prior
         best = total.argmax(axis=1)
         sure = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
-        names = pa.array(learned.languages, pa.string()).take(pa.array(best))
-        return pa.StructArray.from_arrays([names, pa.array(sure)], ["lang", "score"])
+        names = pa.array(languages, pa.string()).take(pa.array(best))
+        typical = typicality(likely, n, best, usual)
+        return pa.StructArray.from_arrays([names, pa.array(sure), pa.array(typical)], ["lang", "score", "typical"])
 
-    column = F.col(f"`{text}`")
-    if not model.languages:
-        found = F.struct(F.lit(UNKNOWN).alias("lang"), F.lit(0.0).alias("score"))
+    column = named(text)
+    if not languages:
+        found = F.struct(F.lit(UNKNOWN).alias("lang"), F.lit(0.0).alias("score"), F.lit(0.0).alias("typical"))
     else:
         found = language(column)
     lettered = F.coalesce(column.rlike(r"\p{L}"), F.lit(False))
-    kept = [F.col(f"`{c}`") for c in df.columns if c not in into]
-    return df.select(*kept, found.alias("__found"), lettered.alias("__lettered")).select(
-        *kept,
-        F.when(F.col("__lettered"), F.col("__found.lang")).otherwise(UNKNOWN).alias(into[0]),
-        F.when(F.col("__lettered"), F.col("__found.score")).otherwise(0.0).alias(into[1]),
-    )
+    kept = others(df, into)
+    # The helper columns' names are free in df.
+    a, b = free_name(df, "found"), free_name(df, "lettered")
+    values = [F.when(named(b), named(a)[field]).otherwise(nothing) for field, nothing in (("lang", UNKNOWN), ("score", 0.0), ("typical", 0.0))]
+    placed = df.select(*kept, found.alias(a), lettered.alias(b))
+    return placed.select(*kept, *[value.alias(name) for value, name in zip(values, into)])
 
 
 def held_out(doc_id) -> F.Column:

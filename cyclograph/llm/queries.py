@@ -117,10 +117,14 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM num
 """
 
 
+SLOP = 2
+"""Words that a passage's words may stand off their places in a proximity match."""
+
+
 @query
 def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """What every document shares with the benchmark."""
-    found = decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    found = decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"), SLOP)
     return found.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         "n_words",
@@ -128,6 +132,8 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
         F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         decontamination.is_contaminated(found).alias("contaminated"),
+        F.size("near").cast("bigint").alias("n_near_items"),
+        F.array_join(F.transform("near", lambda n: n["item"]), ",").alias("near_items"),
     )
 
 

@@ -2,6 +2,7 @@ import random
 import re
 
 from fixtures_llm import ODD_TEXTS, documents, prose
+from pyspark.sql import functions as F
 
 from cyclograph.llm import decontamination as dc
 
@@ -67,12 +68,54 @@ def test_blocks_of_the_benchmark(spark, monkeypatch):
     assert found(spark, texts) == brute(texts, ITEMS)
 
 
-def test_proximity(spark):
-    benchmark = spark.createDataFrame([(1, "alpha beta gamma delta")], "item_id bigint, text string")
-    docs = documents(spark, ["alpha beta gamma delta", "alpha beta x gamma delta", "alpha q q q q beta gamma delta"])
-    rows = sorted(dc.contamination(docs, benchmark, slop=1).collect(), key=lambda r: r["doc_id"])
-    assert [len(r["hit_words"]) for r in rows] == [4, 0, 0]
-    assert [r["n_near"] > 0 for r in rows] == [True, True, False]
+def near_by_hand(text, items, slop):
+    """(item, place) of each word of the document from which all words of one of the item's runs stand
+    within ``slop`` of their places; the word is the run's rarest term in all documents (here: any)."""
+    w = words(text)
+    out = {}
+    for name, item in items:
+        run = words(item)
+        for j, anchor in enumerate(run):
+            for p, word in enumerate(w):
+                if word == anchor and all(
+                    any(w[q] == x for q in range(max(0, p - j + i - slop), min(len(w), p - j + i + slop + 1))) for i, x in enumerate(run)
+                ):
+                    out.setdefault(str(name), set()).add((j, p))
+    return out
+
+
+def test_proximity_equals_brute_force(spark):
+    """Passages of distinct words, so that each run has one anchor; transposed words at either end of
+    documents, and passages that would reach into the next document."""
+    items = [(1, "alpha beta gamma delta"), (2, "p q r"), (3, "one two three four five six seven")]
+    texts = [
+        "alpha beta gamma delta", "alpha beta x gamma delta", "alpha q q q q beta gamma delta", "x y z a b c p", "r p q p q s", "q r p",
+        "p", "q r", "beta alpha delta gamma", "seven one two three four six five", "seven six five four three two one", None, "", "r q p r q p",
+    ]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    for slop in (0, 1, 2, 3):
+        rows = sorted(dc.contamination(documents(spark, texts).coalesce(1), benchmark, slop=slop).collect(), key=lambda r: int(r["doc_id"]))
+        for row, text in zip(rows, texts):
+            by_anchor = near_by_hand(text, items, slop)
+            found = {n["item"]: set(n["words"]) for n in row["near"]}
+            if not slop:
+                assert not found
+                continue
+            assert found.keys() <= by_anchor.keys()
+            for item, places in found.items():  # the anchor is one of the run's words
+                assert any(places == {p for k, p in by_anchor[item] if k == j} for j in {k for k, _ in by_anchor[item]})
+            sure = {i for i, found_at in by_anchor.items() if len({j for j, _ in found_at}) == len(words(dict((str(a), b) for a, b in items)[i]))}
+            assert sure <= found.keys()
+        assert [len(r["hit_words"]) for r in rows][:2] == [4, 0]
+
+
+def test_clashing_columns_come_back_as_they_were(spark):
+    benchmark = spark.createDataFrame([(1, "some words")], "item_id bigint, text string")
+    docs = documents(spark, ["some words", "others", None])
+    for name in ("__id", "__key", "id", "key", "row", "Items", "own_id"):
+        docs = docs.withColumn(name, F.lit(7))
+    kept = dc.remove_contaminated(docs, benchmark)
+    assert kept.columns == docs.columns and sorted((r["doc_id"], r["__id"], r["Items"]) for r in kept.collect()) == [(1, 7, 7), (2, 7, 7)]
 
 
 def test_removal(spark):

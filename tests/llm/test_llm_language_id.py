@@ -36,13 +36,15 @@ def test_scores_equal_brute_force():
     rng = np.random.default_rng(1)
     weights = np.vstack([rng.normal(size=(language_id.BUCKETS, 3)), np.zeros((1, 3))])
     texts = ["", "a", "Ab  c1É", "nö " * 3000, None, "zz" * 100_000]
-    together = language_id.scores(pa.array(texts), weights)
-    for text, total in zip(texts, together):
-        assert np.allclose(total, language_id.scores(pa.array([text]), weights)[0])
+    together, n = language_id.scores(pa.array(texts), weights)
+    for text, total, count in zip(texts, together, n):
+        alone = language_id.scores(pa.array([text], pa.string()), weights)
+        assert np.array_equal(total, alone[0][0]) and count == alone[1][0]
         letters = "".join(c.lower() if c.isalpha() else " " for c in text or "")
         grams = [letters[i : i + k] for k in language_id.LENGTHS for i in range(len(letters) - k + 1)]
         grams = [g for g in grams if g != " " and not g.startswith("  ")]
         expected = np.zeros(3)
+        assert count == len(grams)
         for gram in grams if len(grams) < 20_000 else []:
             data = np.frombuffer(gram.encode(), np.uint8)
             rows, _ = language_id.bucket_numbers(data, np.array([0, len(data)]))
@@ -56,3 +58,40 @@ def test_nothing_to_learn_from(spark):
     model = language_id.fit(docs.filter("false"))
     assert language_id.predict(docs, model).first()["lang_pred"] == "und"
     assert language_id.predict(docs.filter("false"), model).count() == 0
+
+
+def test_texts_in_no_learned_language(spark):
+    """An unlearned script, an unlearned language and random letters are told from learned texts of any length."""
+    import random
+
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    rng = random.Random(2)
+    strange = [
+        "Это совсем другой язык, и никто его здесь не учил. " * 4,
+        "這是另一種語言的文字沒有人學過它" * 6,
+        " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(3, 9))) for _ in range(60)),
+        " ".join("".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(7)) for _ in range(3000)),
+        "123 456 !!!",
+        None,
+    ]
+    added = documents(spark, strange, 10_000_000).withColumn("lang", F.lit(None).cast("string"))
+    both = docs.select("doc_id", "text", "lang", "source", F.col("n_chars").cast("bigint").alias("n_chars")).unionAll(added)
+    kept = {r[0] for r in corpus_pipeline.language(spark, both, FOLDER).select("doc_id").collect()}
+    assert not [i for i in range(len(strange)) if 10_000_000 + i in kept]
+    assert len(kept) >= 0.995 * docs.count()
+
+
+def test_columns_that_differ_by_case(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(200)
+    for name in ("Score", "__score", "found", "lettered", "Lang_Pred", "row", "typical"):
+        docs = docs.withColumn(name, F.lit(7))
+    model = language_id.fit(docs)
+    found = language_id.predict(docs, model)
+    assert found.columns == [c for c in docs.columns if c not in ("Score", "Lang_Pred")] + ["lang_pred", "score"]
+    assert {(r["found"], r["__score"]) for r in found.collect()} == {(7, 7)}
+    kept = corpus_pipeline.language(spark, docs, FOLDER)
+    assert kept.columns == docs.columns and {(r["__score"], r["Score"], r["typical"]) for r in kept.collect()} == {(7, 7, 7)}
