@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 EARTH_RADIUS_M = 6_371_010.0
 QUARTER_MILE_M = 402.0
 _MARGIN = 1.01  # cells and windows are 1 % larger than needed, so rounding cannot lose a pair
+_SURE_RADIUS_M, _SURE_LATITUDE = 10_000.0, 80.0
 
 
 def haversine_m(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column:
@@ -26,11 +27,13 @@ class Grid:
     A circle of ``radius_m`` touches at most its own band and the two beside it; in
     each of them it covers a short run of cells. Longitude wraps at the date line, and
     the cell count of a band shrinks towards the poles, so the scheme is valid anywhere.
+    With ``parts`` the bands are that many times lower, and cells smaller in proportion.
     """
 
-    def __init__(self, radius_m: float):
-        self.angle = radius_m / EARTH_RADIUS_M
-        self.height = math.degrees(self.angle) * _MARGIN
+    def __init__(self, radius_m: float, parts: int = 1):
+        self.radius_m, self.angle = radius_m, radius_m / EARTH_RADIUS_M
+        self.reach = math.degrees(self.angle) * _MARGIN
+        self.height = self.reach / parts
 
     def band(self, lat: Column) -> Column:
         return F.floor((lat + 90) / self.height)
@@ -52,6 +55,26 @@ class Grid:
         band = self.band(lat)
         return F.array(band - 1, band, band + 1)
 
+    def bands_touched(self, lat: Column) -> Column:
+        """Array of the bands that a circle around a place can reach."""
+        return F.sequence(self.band(lat - self.reach), self.band(lat + self.reach))
+
+    def relation(self, lat: Column, lng: Column, band: Column, cell: Column) -> Column:
+        """``inside`` if the cell lies wholly in the circle around (lat, lng), ``outside`` if it lies
+        wholly out of it, else ``rim``. In doubt it is ``rim``: for wide circles and near the poles."""
+        south = band * F.lit(self.height) - 90
+        north = south + self.height
+        width = F.lit(360.0) / self.cells_in(band)
+        west = cell * width - 180
+        corners = [haversine_m(lat, lng, y, x) for y in (south, north) for x in (west, west + width)]
+        ahead = F.pmod(lng - west, F.lit(360.0))
+        beside = F.when(ahead <= width, F.lit(0.0)).otherwise(F.least(ahead - width, 360 - ahead))
+        nearest = haversine_m(lat, F.lit(0.0), F.greatest(south, F.least(north, lat)), beside)
+        # A parallel isn't a shortest way, so these distances are off by a share that stays below the margins here.
+        sure = (F.abs(lat) <= _SURE_LATITUDE) & F.lit(self.radius_m <= _SURE_RADIUS_M)
+        inside = F.greatest(*corners) * _MARGIN <= self.radius_m
+        return F.when(sure & inside, "inside").when(sure & (nearest > self.radius_m * _MARGIN), "outside").otherwise("rim")
+
     def cells_touched(self, lat: Column, lng: Column, band: Column) -> Column:
         """Array of the cells of ``band`` that a circle around (lat, lng) can reach."""
         ratio = F.lit(math.sin(self.angle)) / F.cos(F.radians(lat))

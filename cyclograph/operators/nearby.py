@@ -33,6 +33,41 @@ def nearby_pairs(places: DataFrame, points: DataFrame, radius_m: float = QUARTER
     return keyed.join(spread, ["__band", "__cell"]).filter(near).drop("__band", "__cell", "__lat", "__lng")
 
 
+CELL_PARTS = 4
+"""Cells for counting are this many times smaller than the radius: more of them lie wholly inside it."""
+
+
+def matches(
+    places: DataFrame, points: DataFrame, place_id: str, date: str, radius_m: float = QUARTER_MILE_M
+) -> tuple[DataFrame, DataFrame]:
+    """(place_id, date, n) of the cells wholly inside the radius, and of the positions in the cells on its rim.
+
+    Points are counted by day and position, and these counts by day and cell, before they meet a
+    place. A cell inside the radius then brings one row a day, however many points it holds; only
+    positions on the rim are compared with the place.
+    """
+    grid = Grid(radius_m, CELL_PARTS)
+    spread = (
+        places.filter("lat IS NOT NULL AND lng IS NOT NULL")
+        .select(place_id, F.col("lat").alias("__lat"), F.col("lng").alias("__lng"))
+        .withColumn("__band", F.explode(grid.bands_touched(F.col("__lat"))))
+        .withColumn("__cell", F.explode(grid.cells_touched(F.col("__lat"), F.col("__lng"), F.col("__band"))))
+        .withColumn("__is", grid.relation(F.col("__lat"), F.col("__lng"), F.col("__band"), F.col("__cell")))
+    )
+    positions = (
+        points.filter(F.col(date).isNotNull() & F.col("lat").isNotNull() & F.col("lng").isNotNull())
+        .groupBy(date, "lat", "lng")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("__band", grid.band(F.col("lat")))
+        .withColumn("__cell", grid.cell(F.col("lng"), F.col("__band")))
+    )
+    cells = positions.groupBy("__band", "__cell", date).agg(F.sum("n").alias("n"))
+    inner = cells.join(spread.filter("__is = 'inside'").select(place_id, "__band", "__cell"), ["__band", "__cell"])
+    rim = positions.join(spread.filter("__is = 'rim'").drop("__is"), ["__band", "__cell"])
+    near = haversine_m(F.col("__lat"), F.col("__lng"), F.col("lat"), F.col("lng")) <= radius_m
+    return inner.select(place_id, date, "n"), rim.filter(near).select(place_id, date, "n")
+
+
 def nearby_counts(
     places: DataFrame,
     points: DataFrame,
@@ -41,13 +76,9 @@ def nearby_counts(
     radius_m: float = QUARTER_MILE_M,
     lookback_days: int = 0,
 ) -> DataFrame:
-    """(place_id, date, n): points on that date, or in the ``lookback_days`` before it, too.
-
-    Pairs are counted on the map side first, so only (place, date) figures are shuffled.
-    """
-    dated = points.filter(F.col(date).isNotNull())
-    pairs = nearby_pairs(places.select(place_id, "lat", "lng"), dated, radius_m)
-    counts = pairs.groupBy(place_id, date).agg(F.count(F.lit(1)).alias("n"))
+    """(place_id, date, n): points on that date, or in the ``lookback_days`` before it, too."""
+    inner, rim = matches(places, points, place_id, date, radius_m)
+    counts = inner.unionAll(rim).groupBy(place_id, date).agg(F.sum("n").alias("n"))
     if not lookback_days:
         return counts
     ahead = F.explode(F.sequence(F.lit(0), F.lit(lookback_days))).alias("__ahead")

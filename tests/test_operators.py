@@ -59,6 +59,44 @@ def test_distance_join_with_one_hot_cell(spark):
     assert [(r["station_id"], r["n"]) for r in rows] == [("a", 20_000)]
 
 
+@pytest.mark.parametrize("lat, lng, radius", [(41.88, -87.65, 402.0), (-60.0, 179.999, 402.0), (79.9, 0.0, 9000.0), (85.0, 10.0, 402.0), (89.999, 0.0, 402.0), (10.0, 20.0, 30_000.0)])
+def test_counts_by_cells_match_brute_force(spark, lat, lng, radius):
+    rng = random.Random(11)
+    spread = 2.2 * math.degrees(radius / EARTH_RADIUS_M)
+
+    def somewhere():
+        x = lng + rng.uniform(-spread, spread) / max(math.cos(math.radians(lat)), 1e-4)
+        return max(-90.0, min(90.0, lat + rng.uniform(-spread, spread))), (x + 180) % 360 - 180
+
+    places = [(i, *somewhere()) for i in range(12)]
+    points = [(f"2024-01-0{1 + i % 2}", *somewhere()) for i in range(1500)]
+    points += points[:40]
+    expected = {}
+    for p in places:
+        for day, *at in points:
+            if distance(p[1:], at) <= radius:
+                expected[p[0], day] = expected.get((p[0], day), 0) + 1
+    found = nearby.nearby_counts(
+        spark.createDataFrame(places, "place int, lat double, lng double"),
+        spark.createDataFrame(points, "day string, lat double, lng double"),
+        "place", "day", radius,
+    )
+    rows = found.collect()
+    assert {(r["place"], r["day"]): r["n"] for r in rows} == expected and len(rows) == len(expected)
+
+
+def test_points_of_a_hot_cell_stay_out_of_the_join(spark):
+    """Most points lie within one small cell: its places get one row a day from it, not one a point."""
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 2).cast("int")).alias("date_key")
+    hot = spark.range(50_000).select(day, (F.lit(41.88) + F.col("id") * 1e-9).alias("lat"), (F.lit(-87.65) + F.col("id") * 1e-9).alias("lng"))
+    elsewhere = spark.range(200).select(day, (F.lit(41.8) + F.col("id") * 1e-3).alias("lat"), F.lit(-87.65).alias("lng"))
+    places = spark.range(30).select(F.col("id").alias("p"), (F.lit(41.88) + F.col("id") * 2e-5).alias("lat"), F.lit(-87.65).alias("lng"))
+    inner, rim = nearby.matches(places, hot.unionAll(elsewhere), "p", "date_key")
+    assert inner.count() + rim.count() < 5000
+    counts = nearby.nearby_counts(places, hot, "p", "date_key")
+    assert [tuple(r) for r in counts.groupBy("p").sum("n").orderBy("p").collect()] == [(p, 50_000) for p in range(30)]
+
+
 def test_lookback_counts_earlier_days(spark):
     places = spark.createDataFrame([("a", 41.88, -87.65)], "station_id string, lat double, lng double")
     points = spark.sql(

@@ -42,12 +42,12 @@ def test_joins_have_equality_keys(spark, name):
     assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
-def test_distance_join_does_not_shuffle_points_when_places_are_few(spark):
+def test_points_are_counted_before_they_meet_a_place(spark):
     text = plan(spark, "jn1_nearby_incidents")
-    join = text.index("BroadcastHashJoin")
-    streamed = text[join : text.index("BroadcastExchange", join)]
-    # The only exchange on the points' side belongs to their de-duplication.
-    assert streamed.count("Exchange hashpartitioning") == 1 and "unique_key" in streamed
+    assert text.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in text
+    for join in text.split("BroadcastHashJoin")[1:]:
+        streamed = join[: join.index("BroadcastExchange")]
+        assert "HashAggregate(keys=[date_key" in streamed and "partial_count(1)" in streamed
 
 
 def test_station_day_joins_already_partitioned_sides(spark):
