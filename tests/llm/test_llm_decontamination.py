@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 from fixtures_llm import ODD_TEXTS, documents, prose
 from pyspark.sql import functions as F
 
@@ -68,6 +69,32 @@ def test_blocks_of_the_benchmark(spark, monkeypatch):
     assert found(spark, texts) == brute(texts, ITEMS)
 
 
+def test_pieces_and_candidates_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(dc, "PIECE_WORDS", 5)
+    monkeypatch.setattr(dc, "CANDIDATES", 3)
+    monkeypatch.setattr(dc, "SEGMENT_BYTES", 2000)
+    texts = some_texts()
+    assert found(spark, texts) == brute(texts, ITEMS)
+
+
+def test_anchors_are_the_rarest_words_of_all_documents():
+    """Runs that share their rarest word are one group; the same runs of several items too."""
+    count = {"a": 9, "b": 8, "c": 1, "d": 7, "e": 0}
+    hashes = {w: np.uint64(i) for i, w in enumerate("abcde")}
+
+    def compiled(*texts):
+        pieces = [(str(i), np.array([hashes[w] for w in t.split()], np.uint64)) for i, t in enumerate(texts)]
+        return dc.compile_passages(pieces, lambda terms: np.array([count["abcde"[int(t)]] for t in terms]), window=3)
+
+    p = compiled("a b c d a b", "a b c d a b", "b c", "a b e a")
+    runs = sorted(
+        (" ".join("abcde"[p.words[i]] for i in range(p.low[g], p.high[g] + p.length[g])), "abcde"[p.words[p.anchor[g]]], p.owners[p.starts[g] : p.starts[g + 1]].tolist())
+        for g in range(len(p.anchor))
+    )
+    assert runs == [("a b c d a", "c", [0, 1]), ("b c", "c", [2]), ("d a b", "d", [0, 1])]
+    assert len(compiled("e e e").anchor) == 0
+
+
 def near_by_hand(text, items, slop):
     """(item, place) of each word of the document from which all words of one of the item's runs stand
     within ``slop`` of their places; the word is the run's rarest term in all documents (here: any)."""
