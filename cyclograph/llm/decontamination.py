@@ -26,6 +26,8 @@ PIECE_WORDS = 1 << 16
 """Longer test items are cut into pieces of as many runs."""
 BLOCK_BYTES = 32 << 20
 """Test items are read in blocks of about this many bytes, 8 for a word; one block is on the driver at a time."""
+FILTER_BITS = 24
+"""The index leaves out terms whose bit, one of 2 ** FILTER_BITS, no test item sets: 2 MB for tests of any size."""
 CANDIDATES = 1 << 20
 """Candidates of a segment are followed so many at a time."""
 
@@ -39,14 +41,44 @@ def _terms(data: np.ndarray, offsets: np.ndarray):
     return words_of(LOWER[data], offsets, ALNUM)
 
 
-def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _bit(terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(index, value) of each term's bit in the term filter, an array of 64-bit numbers."""
+    bit = terms >> np.uint64(64 - FILTER_BITS)
+    return (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63))
+
+
+def term_filter(pieces: DataFrame) -> np.ndarray:
+    """The bits of all terms of the test pieces. Other terms can set the same ones, so some more pass it."""
+
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+        for batch in batches:
+            for words in batch.column(0):
+                at, value = _bit(np.frombuffer(words.as_py(), np.uint64))
+                np.bitwise_or.at(out, at, value)
+        used = np.flatnonzero(out)
+        yield pa.RecordBatch.from_pydict({"place": pa.array(used), "bits": pa.array(out[used].view(np.int64))})
+
+    parts = pieces.select("words").mapInArrow(bits, "place bigint, bits bigint")
+    united = parts.groupBy("place").agg(F.bit_or("bits").alias("bits")).toArrow()  # at most 2 ** (FILTER_BITS - 6) rows
+    out = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+    out[united["place"].to_numpy()] = united["bits"].to_numpy().view(np.uint64)
+    return out
+
+
+def _segments(batches: Iterator[pa.RecordBatch], wanted: np.ndarray | None) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row, data, offsets in text_chunks(batch.column(2), SEGMENT_BYTES):
             words = _terms(data, offsets)
             n = len(offsets) - 1
             positions = np.arange(len(words.hashes)) + words.text_of_word() * WINDOW
-            order = np.argsort(words.hashes, kind="stable")
-            terms, positions = words.hashes[order], positions[order].astype(np.uint32)
+            terms = words.hashes
+            if wanted is not None:
+                at, value = _bit(terms)
+                kept = np.flatnonzero(wanted[at] & value)
+                terms, positions = terms[kept], positions[kept]
+            order = np.argsort(terms, kind="stable")
+            terms, positions = terms[order], positions[order].astype(np.uint32)
             first = np.flatnonzero(np.concatenate([[True], terms[1:] != terms[:-1]])) if len(terms) else np.zeros(0, int)
             yield pa.RecordBatch.from_pydict(
                 {
@@ -60,16 +92,18 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def build_index(documents: DataFrame) -> DataFrame:
+def build_index(documents: DataFrame, wanted: np.ndarray | None = None) -> DataFrame:
     """Store the postings of (doc_id, text) in the shared folder, one row for each segment.
 
+    ``wanted``: a ``term_filter``; terms that it excludes get no postings, as no test asks for them.
     Terms are words of A-Z lower-cased text; a null text has none. Positions of consecutive
     documents lie a run apart, so that no run crosses from one to the next.
     """
+    shared = documents.sparkSession.sparkContext.broadcast(wanted)
     rows = documents.select(
         F.col("doc_id").cast("string").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text"
     )
-    segments = rows.mapInArrow(_segments, SEGMENT.removeprefix("segment bigint, "))
+    segments = rows.mapInArrow(lambda batches: _segments(batches, shared.value), SEGMENT.removeprefix("segment bigint, "))
     return materialize(segments.select(F.monotonically_increasing_id().alias("segment"), "*"), "posting-index")
 
 
@@ -313,10 +347,14 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pydict({"item_id": pa.array(names, pa.string()), "words": pa.array(found, pa.binary())})
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[str, np.ndarray]]]:
-    """The pieces of all items, a block at a time."""
+def item_pieces(benchmark: DataFrame) -> DataFrame:
+    """Distinct (item_id, words), the term hashes of the items' texts; long ones in several rows whose ends overlap."""
     named = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), "text")
-    pieces = materialize(named.mapInArrow(_pieces, "item_id string, words binary").distinct(), "benchmark-pieces")
+    return materialize(named.mapInArrow(_pieces, "item_id string, words binary").distinct(), "benchmark-pieces")
+
+
+def _blocks(pieces: DataFrame) -> Iterator[list[tuple[str, np.ndarray]]]:
+    """All pieces, a block at a time."""
     size = pieces.agg(F.sum(F.octet_length("words") + F.octet_length("item_id"))).first()[0] or 0
     n = -(-size // BLOCK_BYTES)
     for block in range(n):
@@ -335,10 +373,11 @@ def contamination(documents: DataFrame, benchmark: DataFrame, slop: int = 0) ->
     hits; an item id that is null is the empty string; rows of one item id count as one item. The
     benchmark is read in blocks of about BLOCK_BYTES, each searched, stored and released in turn.
     """
-    index = build_index(documents)
+    pieces = item_pieces(benchmark)
+    index = build_index(documents, term_filter(pieces))
     found = documents.sparkSession.createDataFrame([], FOUND)
-    for pieces in _blocks(benchmark):
-        found = found.unionAll(search(index, compile_passages(pieces, lambda terms: frequencies(index, terms)), slop))
+    for block in _blocks(pieces):
+        found = found.unionAll(search(index, compile_passages(block, lambda terms: frequencies(index, terms)), slop))
     by_document = found.groupBy("segment", "ordinal").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit_words")))).alias("hit_words"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),

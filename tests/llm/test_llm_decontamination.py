@@ -77,6 +77,13 @@ def test_pieces_and_candidates_in_parts(spark, monkeypatch):
     assert found(spark, texts) == brute(texts, ITEMS)
 
 
+def test_a_filter_that_lets_other_terms_pass(spark, monkeypatch):
+    texts = some_texts()
+    for bits in (6, 9):
+        monkeypatch.setattr(dc, "FILTER_BITS", bits)
+        assert found(spark, texts) == brute(texts, ITEMS)
+
+
 def test_anchors_are_the_rarest_words_of_all_documents():
     """Runs that share their rarest word are one group; the same runs of several items too."""
     count = {"a": 9, "b": 8, "c": 1, "d": 7, "e": 0}
