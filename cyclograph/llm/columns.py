@@ -19,6 +19,20 @@ def others(df: DataFrame, new: Iterable[str]) -> list[Column]:
     return [named(c) for c in df.columns if c.lower() not in taken]
 
 
+def free_prefix(df: DataFrame) -> str:
+    """Underscores with which no column begins."""
+    prefix = "__"
+    while any(c.startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
+def sort_key(df: DataFrame, name: str) -> Column:
+    """The column, or its JSON where its type has no order."""
+    kind = df.schema[name].dataType.simpleString()
+    return F.to_json(F.struct(named(name))) if "map<" in kind or "variant" in kind else named(name)
+
+
 def free_name(df: DataFrame, stem: str) -> str:
     """A name like ``stem`` that no column has, whatever its case."""
     taken, name = {c.lower() for c in df.columns}, stem

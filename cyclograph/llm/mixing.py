@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from cyclograph.llm.columns import free_prefix, named, sort_key
 from cyclograph.llm.words import text_chunks, word_counts
 from cyclograph.session import materialize
 
@@ -87,7 +88,8 @@ def solve(counts: DataFrame, wanted: DataFrame) -> DataFrame:
     """Tilt of each source: ``wanted`` with columns scale, full, tilt.
 
     Newton's step is taken where it stays inside the bracket known so far, else the bracket is
-    halved or widened. A source whose target is all it can give is full and needs no tilt.
+    halved or widened. A source whose target is all it can give is full and needs no tilt. A gap
+    that is still above PRECISION after STEPS steps raises.
     """
     counts = materialize(counts, "mix-counts")
     start = wanted.select(
@@ -132,8 +134,11 @@ def solve(counts: DataFrame, wanted: DataFrame) -> DataFrame:
             ),
             "mix-tilts",
         )
-        if (state.agg(F.max("gap")).first()[0] or 0) < PRECISION:
+        gap = state.agg(F.max("gap")).first()[0] or 0
+        if gap < PRECISION:
             break
+    else:
+        raise RuntimeError(f"no tilts found: a source is {gap:.2g} of its target away after {STEPS} steps")
     return state.drop("low", "high", "gap").withColumn("tilt", F.round("tilt", 12))
 
 
@@ -163,7 +168,7 @@ def mix(documents: DataFrame) -> DataFrame:
     order of size, so that small documents make up for what large ones leave. Reruns agree.
     """
     names = [c for c in documents.columns if c.lower() not in ADDED]
-    rows = documents.select(*[F.col(f"`{c}`") for c in names]).withColumn("size", F.coalesce("size", F.lit(0)).cast("bigint"))
+    rows = documents.select(*[named(c) for c in names]).withColumn("size", F.coalesce("size", F.lit(0)).cast("bigint"))
     by_size = materialize(rows.groupBy("source", "size").agg(F.count("*").alias("n")), "mix-sizes")
     wanted = materialize(
         targets(by_size.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum("n").alias("n_rows"))),
@@ -171,15 +176,18 @@ def mix(documents: DataFrame) -> DataFrame:
     )
     same = by_size["source"].eqNullSafe(wanted["source"])
     state = solve(by_size.join(wanted, same).select("source_id", "size", "n"), wanted)
-    state = state.select(*[F.col(c).alias(f"__{c}") for c in state.columns])
-    joined = rows.join(state, F.col("source").eqNullSafe(F.col("__source")))
-    chunk = F.pmod(F.xxhash64("doc_id", "size"), F.ceil(F.col("__n_rows") / CHUNK_ROWS))
+    prefix = free_prefix(rows)
+    source_id, part, size, rate = (prefix + c for c in ("source_id", "chunk", "size", "rate"))
+    state = state.select(*[F.col(c).alias(prefix + c) for c in state.columns])
+    joined = rows.join(state, F.col("source").eqNullSafe(F.col(prefix + "source")))
+    chunk = F.pmod(F.xxhash64("doc_id", "size"), F.ceil(F.col(prefix + "n_rows") / CHUNK_ROWS))
     shaped = joined.select(
-        *[F.col(f"`{c}`") for c in names], F.col("__source_size").alias("source_size"), F.col("__target").alias("target"),
-        "__source_id", chunk.alias("__chunk"), F.col("size").alias("__size"), _rate(F.col("size"), "__").alias("__rate"),
+        *[named(c) for c in names], F.col(prefix + "source_size").alias("source_size"), F.col(prefix + "target").alias("target"),
+        F.col(prefix + "source_id").alias(source_id), chunk.alias(part), F.col("size").alias(size), _rate(F.col("size"), prefix).alias(rate),
     )
-    ordered = shaped.repartition("__source_id", "__chunk").sortWithinPartitions(
-        "__source_id", "__chunk", F.desc("__size"), "doc_id", *[F.col(f"`{c}`") for c in names if c not in ("doc_id", "size", "source")]
+    ordered = shaped.repartition(source_id, part).sortWithinPartitions(
+        source_id, part, F.desc(size), "doc_id", *[sort_key(rows, c) for c in names if c not in ("doc_id", "size", "source")]
     )
-    schema = shaped.drop("__source_id", "__chunk", "__size", "__rate").schema.add("copies", "long")
-    return ordered.mapInArrow(_copies, schema)
+    numbered = ordered.toDF(*[f"c{i}" for i in range(len(ordered.columns))])  # mapInArrow takes no dots in names
+    schema = numbered.select(numbered.columns[:-4]).schema.add("copies", "long")
+    return numbered.mapInArrow(_copies, schema).toDF(*ordered.columns[:-4], "copies")

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from cyclograph.llm.columns import named, others
+
 # The base patterns. The look-behinds only spare hopeless starts inside a run.
 _EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(\.[A-Za-z0-9-]+)+")
 _EMAIL_HERE = re.compile(r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(\.[A-Za-z0-9-]+)+")
@@ -128,7 +130,7 @@ def with_spans(df: DataFrame, text: str = "text", into: str = "pii") -> DataFram
     """Add an array of (kind, start, end, score), in code points, for every whole text.
 
     A null or empty text has no spans. Every row and other column stays; a column already
-    named ``into`` is replaced.
+    named ``into``, whatever its case, is replaced.
     """
 
     @arrow_udf("array<struct<kind: string, start: bigint, end: bigint, score: double>>")
@@ -138,8 +140,7 @@ def with_spans(df: DataFrame, text: str = "text", into: str = "pii") -> DataFram
             pa.list_(_SPAN),
         )
 
-    kept = [F.col(f"`{c}`") for c in df.columns if c != into]
-    return df.select(*kept, spans(F.col(f"`{text}`")).alias(into))
+    return df.select(*others(df, [into]), spans(named(text)).alias(into))
 
 
 def _texts(column: pa.Array) -> Iterator[str]:

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from cyclograph.llm.columns import free_name, named, others
 from cyclograph.llm.words import NOT_BLANK, byte_class, mixed, text_chunks, words_of
 from cyclograph.session import materialize
 
@@ -92,16 +93,16 @@ def features_of(column: pa.Array) -> dict[str, np.ndarray]:
 
 
 def with_features(documents: DataFrame, text: str = "text") -> DataFrame:
-    """Add the counts in FEATURES and base_failed; columns of these names are replaced."""
+    """Add the counts in FEATURES and base_failed; columns of these names, whatever their case, are replaced."""
 
     @arrow_udf("struct<" + ", ".join(f"{name}: bigint" for name in FEATURES) + ">")
     def counted(texts: pa.Array) -> pa.Array:
         found = features_of(texts)
         return pa.StructArray.from_arrays([pa.array(found[name]) for name in FEATURES], list(FEATURES))
 
-    kept = [F.col(f"`{c}`") for c in documents.columns if c not in (*FEATURES, "base_failed")]
-    rows = documents.select(*kept, counted(F.col(f"`{text}`")).alias("__f"))
-    rows = rows.select(*kept, *[F.col(f"__f.{name}").alias(name) for name in FEATURES])
+    kept, found = others(documents, (*FEATURES, "base_failed")), free_name(documents, "features")
+    rows = documents.select(*kept, counted(named(text)).alias(found))
+    rows = rows.select(*kept, *[named(found)[name].alias(name) for name in FEATURES])
     return rows.withColumn("base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cyclograph.llm.columns import others
 from cyclograph.session import materialize, new_folder
 
 SLOTS = 4096
@@ -117,12 +118,13 @@ def shard(documents: DataFrame, shards: int, folder: str | None = None) -> DataF
 
 
 def with_shard(documents: DataFrame, shards: int) -> DataFrame:
-    """All rows and columns of ``documents``, with their shard."""
+    """All rows and columns of ``documents``, with their virtual_slot and shard; columns of these
+    names, whatever their case, are replaced."""
     sizes = documents.select(
         slot_of("doc_id", "text").alias("virtual_slot"),
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("bigint").alias("size"),
     )
     slot_map = save_map(assign(slot_sizes(sizes), shards), new_folder(documents.sparkSession, "slot-map"), 1)
-    kept = [F.col(f"`{c}`") for c in documents.columns if c not in ("shard", "virtual_slot")]
+    kept = others(documents, ("shard", "virtual_slot"))
     placed = documents.select(*kept, slot_of("doc_id", "text").alias("virtual_slot"))
     return placed.join(F.broadcast(slot_map.select("virtual_slot", "shard")), "virtual_slot").select(*kept, "virtual_slot", "shard")

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from cyclograph.llm.columns import free_prefix, others
 from cyclograph.llm.words import Words, mixed, text_chunks, words_of
 from cyclograph.session import materialize
 
@@ -311,7 +312,7 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
 
     A word goes if a run of MIN_WORDS words around it begins at least twice in the corpus, the
     same text included; all is judged on the input. A null or empty text has no words. Repeated
-    rows repeat each other. Columns named like the new ones are replaced. Words are compared by
+    rows repeat each other. Columns named like the new ones, whatever their case, are replaced. Words are compared by
     64-bit hashes, rows found again by a 64-bit hash of doc_id and text.
     """
     key = F.xxhash64("doc_id", "text")
@@ -359,11 +360,13 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
         .select("key", "segment", "mask")
         .distinct()
         .groupBy("key")
-        .agg(F.collect_list(F.struct("segment", "mask")).alias("__masks"))
+        .agg(F.collect_list(F.struct("segment", "mask")).alias("masks"))
     )
     new = ("n_words", "removed", "kept")
-    names = [F.col(f"`{c}`") for c in documents.columns if c not in new]
+    names, prefix = others(documents, new), free_prefix(documents)
+    row, masks, cleaned = (prefix + c for c in ("key", "masks", "cleaned"))
     clean = arrow_udf(_clean, "struct<n_words: bigint, removed: array<struct<start: bigint, end: bigint>>, kept: string>")
-    joined = documents.select(*names, key.alias("__key")).join(of_row.withColumnRenamed("key", "__key"), "__key", "left")
-    result = joined.select(*names, clean("text", "__masks").alias("__r"))
-    return result.select(*names, *[F.col(f"__r.{c}").alias(c) for c in new])
+    of_row = of_row.select(F.col("key").alias(row), F.col("masks").alias(masks))
+    joined = documents.select(*names, key.alias(row)).join(of_row, row, "left")
+    result = joined.select(*names, clean("text", masks).alias(cleaned))
+    return result.select(*names, *[F.col(f"{cleaned}.{c}").alias(c) for c in new])

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from cyclograph.llm.columns import free_name, named, others
 from cyclograph.session import shared_folder
 
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -139,7 +140,7 @@ def judge(df: DataFrame, rules: Iterable[tuple[str, str]], url: str = "url", oth
     A rule (host and start of the path, like ``net/`` or ``example.net/en/``) fits its host and
     all subdomains; the longest one decides. Without one, rule is null and the verdict is
     ``otherwise``. A null URL or one without ``://`` has an empty host and path, so no rule fits.
-    All rows stay, as do other columns not named like the new ones.
+    All rows stay, as do other columns not named like the new ones in any case.
     """
     name = publish(df.sparkSession, rules)
 
@@ -152,8 +153,8 @@ def judge(df: DataFrame, rules: Iterable[tuple[str, str]], url: str = "url", oth
         )
 
     new = ("host", "path", "rule", "verdict")
-    kept = [F.col(f"`{c}`") for c in df.columns if c not in new]
-    parts = df.select(*kept, host_of(F.col(f"`{url}`")).alias("host"), path_of(F.col(f"`{url}`")).alias("path"))
-    return parts.withColumn("__hit", found("host", "path")).select(
-        *kept, "host", "path", F.col("__hit.rule").alias("rule"), F.col("__hit.verdict").alias("verdict")
+    kept, hit = others(df, new), free_name(df, "hit")
+    parts = df.select(*kept, host_of(named(url)).alias("host"), path_of(named(url)).alias("path"))
+    return parts.withColumn(hit, found("host", "path")).select(
+        *kept, "host", "path", *[named(hit)[name].alias(name) for name in ("rule", "verdict")]
     )
