@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cyclograph.llm import decontamination, jaccard_join, language_id, mixing, sharding
+from cyclograph.llm.columns import free_prefix, named
 from cyclograph.llm.words import small_batches
 from cyclograph.session import materialize
 
@@ -42,10 +43,11 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    own = {c: f"__own_{c}" if c.lower() in ("size", *mixing.ADDED) else c for c in docs.columns}
-    mixed = mixing.mix(docs.select(*[F.col(f"`{c}`").alias(name) for c, name in own.items()]).withColumn("size", mixing.count_words("text")))
-    repeated = mixed.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
-    return repeated.select(*[F.col(f"`{name}`").alias(c) for c, name in own.items()])
+    prefix = free_prefix(docs)
+    own = {c: prefix + c if c.lower() in ("size", *mixing.ADDED) else c for c in docs.columns}
+    mixed = mixing.mix(docs.select(*[named(c).alias(name) for c, name in own.items()]).withColumn("size", mixing.count_words("text")))
+    repeated = mixed.withColumn(prefix + "copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
+    return repeated.select(*[named(name).alias(c) for c, name in own.items()])
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
