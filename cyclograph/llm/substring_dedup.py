@@ -9,9 +9,10 @@ each segment's matching statistics, that is, for each word the longest run endin
 occurs twice; windows inside a match go.
 
 Sending the automata of all shards to all documents would take work in the square of the corpus,
-so a shard meets just the documents that hold its anchor. A shard whose segments are all alike
-needs no automaton. An anchor in over SHARD_SEGMENTS places is no shard for one task: its windows
-are counted one by one, which is spread by window and summed before it is shuffled.
+so a shard meets just the documents that hold its anchor. An anchor with over SHARD_SEGMENTS
+different segments is no shard for one task: its windows, each with the number of its occurrences,
+are dealt by their hash to as many shards, each with an automaton of its own, as keep a shard to
+about SHARD_WINDOWS windows; equal windows meet in one shard.
 """
 
 from __future__ import annotations
@@ -33,11 +34,12 @@ ANCHOR = 8
 REACH = MIN_WORDS - ANCHOR + 1
 """Anchors a window can have, and so the most windows of one segment."""
 SHARD_SEGMENTS = 500
-ALL = -1
-"""Every window of a segment, as a mask."""
+SHARD_WINDOWS = 500
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _PLACE_BITS = 26
+_FLUSH = 10_000
+"""Rows after which a task hands on what it found."""
 
 
 def _least(grams: np.ndarray) -> np.ndarray:
@@ -125,14 +127,12 @@ def _anchor_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(n)], names=["anchor", "n"])
 
 
-def _fetch(batches: Iterator[pa.RecordBatch], windows: bool) -> Iterator[pa.RecordBatch]:
-    """Words, or hashes of the windows, of the wanted (anchor, segment) pairs of each row."""
+def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(anchor, segment, n, words, first word, windows) of the wanted segments of each row, each once."""
     for batch in batches:
         wanted = batch.column(2).to_pylist()
-        out: list[tuple] = []
         for row, words in _chunks(batch.column(1)):
             anchor, segment, text, first, length = segments_of(words)
-            at, h = words.windows(MIN_WORDS) if windows else (None, words.hashes)
             cuts = np.searchsorted(text, np.arange(len(words.first)))
             for i in range(len(words.first) - 1):
                 want = {w["segment"]: w["n"] for w in wanted[row + i]}
@@ -140,18 +140,57 @@ def _fetch(batches: Iterator[pa.RecordBatch], windows: bool) -> Iterator[pa.Reco
                     n = want.pop(int(segment[s]), None)
                     if n is not None:
                         begin = int(words.first[i] + first[s])
-                        if windows:
-                            begin, size = int(np.searchsorted(at, begin)), int(length[s])
-                            part = h[begin : begin + size].view(np.int64)
-                        else:
-                            part = h[begin : begin + int(length[s]) + MIN_WORDS - 1].tobytes()
-                        out.append((int(anchor[s]), int(segment[s]), n, part))
-        kind = pa.list_(pa.int64()) if windows else pa.binary()
-        columns = list(zip(*out)) or [()] * 4
-        yield pa.RecordBatch.from_arrays(
-            [*[pa.array(c, pa.int64()) for c in columns[:3]], pa.array(columns[3], kind)],
-            names=["anchor", "segment", "n", "words"],
-        )
+                        yield int(anchor[s]), int(segment[s]), n, words, begin, int(length[s])
+
+
+def _rows(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    held: list[tuple] = []
+    for row in rows:
+        held.append(row)
+        if len(held) >= _FLUSH:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+            held.clear()
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+
+
+def _schema(**fields: pa.DataType) -> pa.Schema:
+    return pa.schema(list(fields.items()))
+
+
+def _segment_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(shard, part, n, words): the word hashes of each wanted segment; its anchor is its shard."""
+
+    def rows() -> Iterator[tuple]:
+        for anchor, segment, n, words, begin, length in _wanted(batches):
+            yield anchor, segment, n, words.hashes[begin : begin + length + MIN_WORDS - 1].tobytes()
+
+    return _rows(rows(), _schema(shard=pa.int64(), part=pa.int64(), n=pa.int64(), words=pa.binary()))
+
+
+def _segment_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(anchor, segment, n, place, window, words): hash and words of each window of the wanted segments.
+
+    The words come with the first of equal windows in a chunk of texts, and are null in the others.
+    """
+
+    def rows() -> Iterator[tuple]:
+        chunk, known = None, set()
+        for anchor, segment, n, words, begin, length in _wanted(batches):
+            if words is not chunk:
+                chunk, known = words, set()
+                at, hashes = words.windows(MIN_WORDS)
+                hashes = hashes.view(np.int64)
+            first = int(np.searchsorted(at, begin))
+            for place, window in enumerate(hashes[first : first + length].tolist()):
+                part = None
+                if window not in known:
+                    known.add(window)
+                    part = words.hashes[begin + place : begin + place + MIN_WORDS].tobytes()
+                yield anchor, segment, n, place, window, part
+
+    i64 = pa.int64()
+    return _rows(rows(), _schema(anchor=i64, segment=i64, n=i64, place=pa.int32(), window=i64, words=pa.binary()))
 
 
 class SuffixAutomaton:
@@ -222,44 +261,37 @@ class SuffixAutomaton:
 
 
 def _shard_masks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Masks of repeated windows for the single segments of each anchor (anchor, segment, n, words)."""
-    done: list[tuple] = []
-
-    def out() -> pa.RecordBatch:
-        columns = list(zip(*done)) or [()] * 3
-        done.clear()
-        return pa.RecordBatch.from_arrays(
-            [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int32())],
-            names=["anchor", "segment", "mask"],
-        )
-
-    def close(anchor: int, held: dict[int, tuple[int, list[int]]]) -> None:
+    """(shard, part, mask): which windows of each part repeat, judged by its shard's automaton.
+
+    Rows (shard, part, n, words) come sorted by shard; a part's words are n times in the corpus.
+    """
+
+    def masks(shard: int, held: dict[int, tuple[int, list[int]]]) -> Iterator[tuple]:
         automaton = SuffixAutomaton()
         for n, words in held.values():
             automaton.add(words, n)
         automaton.close()
-        for segment, (n, words) in held.items():
-            if n == 1:
-                mask = 0
-                for end, matched in enumerate(automaton.statistics(words), 1):
-                    if matched >= MIN_WORDS:
-                        mask |= 1 << (end - MIN_WORDS)
-                if mask:
-                    done.append((anchor, segment, mask))
-
-    current, held = None, {}
-    for batch in batches:
-        for anchor, segment, n, words in zip(*(c.to_pylist() for c in batch.columns)):
-            if anchor != current:
-                if held:
-                    close(current, held)
-                current, held = anchor, {}
-            held[segment] = (n, np.frombuffer(words, np.uint64).tolist())
-        if len(done) > 10_000:
-            yield out()
-    if held:
-        close(current, held)
-    yield out()
+        for part, (_, words) in held.items():
+            mask = 0
+            for end, matched in enumerate(automaton.statistics(words), 1):
+                if matched >= MIN_WORDS:
+                    mask |= 1 << (end - MIN_WORDS)
+            if mask:
+                yield shard, part, mask
+
+    def rows() -> Iterator[tuple]:
+        current, held = None, {}
+        for batch in batches:
+            for shard, part, n, words in zip(*(c.to_pylist() for c in batch.columns)):
+                if shard != current:
+                    if held:
+                        yield from masks(current, held)
+                    current, held = shard, {}
+                held[part] = (n, np.frombuffer(words, np.uint64).tolist())
+        if held:
+            yield from masks(current, held)
+
+    return _rows(rows(), _schema(shard=pa.int64(), part=pa.int64(), mask=pa.int32()))
 
 
 def _clean(texts: pa.Array, masks: pa.Array) -> pa.Array:
@@ -283,7 +315,7 @@ def _clean(texts: pa.Array, masks: pa.Array) -> pa.Array:
                 for s in range(cuts[i], cuts[i + 1]):
                     mask = known.get(int(segment[s]), 0)
                     begin, size = int(first[s]), int(length[s])
-                    if mask == ALL:
+                    if mask == (1 << size) - 1:
                         edge[begin] += 1
                         edge[begin + size + MIN_WORDS - 1] -= 1
                     elif mask:
@@ -326,34 +358,39 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     distinct = materialize(
         found.groupBy("anchor", "segment").agg(F.sum("n").alias("n"), F.min("key").alias("key")), "distinct-segments"
     )
-    shards = distinct.groupBy("anchor").agg(F.count("*").alias("segments"), F.min("n").alias("least")).filter("least = 1 AND segments > 1")
-    open_ones = distinct.join(shards.select("anchor", "segments"), "anchor")
+    sizes = distinct.groupBy("anchor").agg(F.count("*").alias("segments"))
+    sized = distinct.join(sizes, "anchor")
 
     def wanted(condition: str) -> DataFrame:
-        rows = open_ones.filter(condition).groupBy("key").agg(F.collect_list(F.struct("segment", "n")).alias("wanted"))
+        rows = sized.filter(condition).groupBy("key").agg(F.collect_list(F.struct("segment", "n")).alias("wanted"))
         return texts.join(rows, "key").select("key", "text", "wanted")
 
-    words = wanted(f"segments <= {SHARD_SEGMENTS}").mapInArrow(
-        lambda b: _fetch(b, False), "anchor bigint, segment bigint, n bigint, words binary"
-    )
-    in_shards = words.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(
-        _shard_masks, "anchor bigint, segment bigint, mask int"
+    def judged(parts: DataFrame) -> DataFrame:
+        spread = parts.select("shard", "part", "n", "words").repartition("shard").sortWithinPartitions("shard")
+        return spread.mapInArrow(_shard_masks, "shard bigint, part bigint, mask int")
+
+    segments = wanted(f"segments <= {SHARD_SEGMENTS}").mapInArrow(
+        _segment_words, "shard bigint, part bigint, n bigint, words binary"
     )
+    in_shards = judged(segments).select(F.col("shard").alias("anchor"), F.col("part").alias("segment"), "mask")
     windows = materialize(
-        wanted(f"segments > {SHARD_SEGMENTS}")
-        .mapInArrow(lambda b: _fetch(b, True), "anchor bigint, segment bigint, n bigint, words array<bigint>")
-        .select("anchor", "segment", "n", F.posexplode("words").alias("place", "window")),
+        wanted(f"segments > {SHARD_SEGMENTS}").mapInArrow(
+            _segment_windows, "anchor bigint, segment bigint, n bigint, place int, window bigint, words binary"
+        ),
         "common-windows",
     )
-    twice = windows.groupBy("window").agg(F.sum("n").alias("total")).filter("total > 1").select("window")
-    counted = (
-        windows.filter("n = 1")
-        .join(twice, "window")
+    dealt = F.expr(f"xxhash64(anchor, pmod(window, ceil(segments * {REACH} / {SHARD_WINDOWS})))")
+    distinct_windows = windows.groupBy("anchor", "window").agg(F.sum("n").alias("n"), F.max("words").alias("words"))
+    repeated_windows = judged(
+        distinct_windows.join(sizes, "anchor").select(dealt.alias("shard"), F.col("window").alias("part"), "n", "words")
+    )
+    in_split_shards = (
+        windows.select("anchor", "segment", "place", "window")
+        .join(repeated_windows.select(F.col("part").alias("window")), "window")
         .groupBy("anchor", "segment")
         .agg(F.bit_or(F.expr("shiftleft(1, place)")).alias("mask"))
     )
-    whole = distinct.filter("n > 1").select("anchor", "segment", F.lit(ALL).alias("mask"))
-    masks = whole.unionAll(in_shards).unionAll(counted)
+    masks = in_shards.unionAll(in_split_shards)
     of_row = (
         found.select("anchor", "segment", "key")
         .join(masks, ["anchor", "segment"])

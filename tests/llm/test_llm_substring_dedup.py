@@ -50,12 +50,21 @@ def test_equals_brute_force(spark):
     assert found(spark, texts) == brute(texts)
 
 
-def test_large_shards_are_counted(spark, monkeypatch):
-    monkeypatch.setattr(sd, "SHARD_SEGMENTS", 3)
+@pytest.mark.parametrize("segments, windows", [(3, 500), (3, 2), (0, 5)])
+def test_large_shards_are_split(spark, monkeypatch, segments, windows):
+    monkeypatch.setattr(sd, "SHARD_SEGMENTS", segments)
+    monkeypatch.setattr(sd, "SHARD_WINDOWS", windows)
     texts = some_texts()
     assert found(spark, texts) == brute(texts)
 
 
+@pytest.mark.parametrize("segments", [0, 3, 500])
+def test_all_comes_through_automata(spark, monkeypatch, segments):
+    monkeypatch.setattr(sd, "SHARD_SEGMENTS", segments)
+    monkeypatch.setattr(sd, "_shard_masks", lambda batches: (b for b in batches if False))
+    assert {n for _, n, _ in found(spark, some_texts())} == {0}
+
+
 def test_automaton_statistics():
     rng = random.Random(2)
     for _ in range(200):
