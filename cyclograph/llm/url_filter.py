@@ -1,8 +1,10 @@
 """URL rules as a sorted digest array.
 
-The rules become one file: 64-bit xxhash keys in order, then the rules' own strings. Executors
-get the file through Spark's file distribution and map it into memory; a batch of URLs is probed
-by binary search over the mapped keys, and every hit is confirmed by its stored string.
+The rules become one file: 64-bit xxhash keys in order, then the rules' own strings, and before
+them the keys of the rules' hosts, each with the lengths of the paths that its rules have. Executors
+get the file through Spark's file distribution and map it into memory. The hosts of a batch of URLs
+are probed by binary search over the mapped host keys, then the paths under known hosts over the
+rules' keys, and every hit is confirmed by its stored string. Mapping reads no rule.
 """
 
 from __future__ import annotations
@@ -20,12 +22,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from cyclograph.llm.columns import free_name, named, others
-from cyclograph.session import shared_folder
+from cyclograph.session import new_folder
 
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ALLOW, BLOCK = "allow", "block"
 MAX_FILE_BYTES = 1 << 30
 """An index above this size is refused: every executor holds a copy."""
+_SLICE = 8 << 20
+"""Bytes that the driver hands to the file at once."""
 
 
 def host_of(url: Column) -> Column:
@@ -54,7 +58,25 @@ def index_bytes(rules: Iterable[tuple[str, str]], key=_key) -> bytes:
     offsets = np.concatenate([[0], np.cumsum([len(s) for s in strings])]).astype(np.uint64)
     keys = np.array([key(r) for r in order], np.uint64)
     blocked = np.array([verdicts[r] == BLOCK for r in order], np.uint8)
-    return np.uint64(len(order)).tobytes() + keys.tobytes() + offsets.tobytes() + blocked.tobytes() + b"".join(strings)
+    of_host: dict[int, set[int]] = {}
+    labels = set()
+    for rule in verdicts:
+        host = rule.partition("/")[0]
+        of_host.setdefault(key(host), set()).add(len(rule) - len(host))
+        labels.add(host.count(".") + 1)
+    hosts = sorted(of_host)
+    lengths = [sorted(of_host[h]) for h in hosts]
+    ends = np.cumsum([0, *map(len, lengths)])
+    numbers = [
+        np.array([len(order), len(hosts), ends[-1], len(labels)]),
+        np.array(sorted(labels)),
+        np.array(hosts, np.uint64),
+        ends,
+        np.array([n for some in lengths for n in some]),
+        keys,
+        offsets,
+    ]
+    return b"".join(a.astype(np.uint64).tobytes() for a in numbers) + blocked.tobytes() + b"".join(strings)
 
 
 class Hit(NamedTuple):
@@ -67,38 +89,57 @@ class DigestArray:
 
     def __init__(self, path: str, key=_key):
         data = np.memmap(path, np.uint8, "r")
-        n = int(data[:8].view(np.uint64)[0])
-        self.key, self.n = key, n
-        self.keys = data[8 : 8 + 8 * n].view(np.uint64)
-        at = 8 + 8 * n
-        self.offsets = data[at : at + 8 * (n + 1)].view(np.uint64)
-        at += 8 * (n + 1)
+        n, n_hosts, n_lengths, n_labels = data[:32].view(np.uint64).tolist()
+        self.key, at = key, 32
+
+        def part(size: int) -> np.ndarray:
+            nonlocal at
+            at += 8 * size
+            return data[at - 8 * size : at].view(np.uint64)
+
+        self.labels = part(n_labels).tolist()
+        self.hosts, self.ends, self.lengths = part(n_hosts), part(n_hosts + 1), part(n_lengths)
+        self.keys, self.offsets = part(n), part(n + 1)
         self.blocked, self.strings = data[at : at + n], data[at + n :]
-        rules = [self.rule(i) for i in range(n)]
-        self.labels = sorted({r.partition("/")[0].count(".") + 1 for r in rules})
-        self.path_lengths = sorted({len(r) - r.index("/") for r in rules})
 
     def rule(self, i: int) -> str:
         return self.strings[int(self.offsets[i]) : int(self.offsets[i + 1])].tobytes().decode()
 
-    def candidates(self, host: str, path: str) -> list[str]:
-        """What a rule that fits could look like: host suffixes of as many labels as some rule
-        has, with starts of the path as long as some rule's."""
-        parts = host.split(".")
-        hosts = [".".join(parts[-n:]) for n in self.labels if n <= len(parts)]
-        return [h + path[:n] for h in hosts for n in self.path_lengths if n <= len(path)]
+    def _keys_of(self, texts: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.key, texts), np.uint64, len(texts))
+
+    def known_hosts(self, hosts: list[str]) -> dict[str, list[tuple[str, list[int]]]]:
+        """Of each host that rules may fit: its suffixes that rules have, with the lengths of those
+        rules' paths. Hosts whose keys collide share their lengths, which the strings put right."""
+        suffixes, owners = [], []
+        for host in dict.fromkeys(hosts):
+            parts = host.rsplit(".", self.labels[-1])
+            for n in self.labels:
+                if n <= len(parts):
+                    suffixes.append(".".join(parts[-n:]))
+                    owners.append(host)
+        wanted = self._keys_of(suffixes)
+        at = np.minimum(np.searchsorted(self.hosts, wanted), len(self.hosts) - 1)
+        known: dict[str, list[tuple[str, list[int]]]] = {}
+        for j in np.flatnonzero(self.hosts[at] == wanted).tolist():
+            lengths = self.lengths[int(self.ends[at[j]]) : int(self.ends[at[j] + 1])].tolist()
+            known.setdefault(owners[j], []).append((suffixes[j], lengths))
+        return known
 
     def longest(self, hosts: list[str], paths: list[str]) -> list[Hit | None]:
         """The longest rule that fits each URL; among equally long ones the first in order."""
+        known = self.known_hosts(hosts) if self.labels else {}
         texts, owners = [], []
         for i, (host, path) in enumerate(zip(hosts, paths)):
-            for text in self.candidates(host, path):
-                texts.append(text)
-                owners.append(i)
+            for suffix, lengths in known.get(host, ()):
+                for n in lengths:
+                    if n <= len(path):
+                        texts.append(suffix + path[:n])
+                        owners.append(i)
         best: list[Hit | None] = [None] * len(hosts)
         if not texts:
             return best
-        wanted = np.fromiter(map(self.key, texts), np.uint64, len(texts))
+        wanted = self._keys_of(texts)
         left, right = np.searchsorted(self.keys, wanted), np.searchsorted(self.keys, wanted, "right")
         for j in np.flatnonzero(right > left):
             for i in range(left[j], right[j]):
@@ -110,18 +151,23 @@ class DigestArray:
 
 
 def publish(spark: SparkSession, rules: Iterable[tuple[str, str]]) -> str:
-    """Write the index once to the shared folder and offer it to the executors; its file name."""
+    """Write the index once to the shared folder and offer it to the executors; its file name.
+
+    The file goes with the other work folders (``session.remove_folders``).
+    """
     data = index_bytes(rules)
     if len(data) > MAX_FILE_BYTES:
         raise ValueError("the rules exceed MAX_FILE_BYTES")
     name = f"url-rules-{uuid.uuid4().hex}.bin"
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{name}")
-    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{new_folder(spark, 'url-rules')}/{name}")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    stream = files.create(path)
     try:
-        stream.write(data)
+        for at in range(0, len(data), _SLICE):
+            stream.write(data[at : at + _SLICE])
     finally:
         stream.close()
-    spark.sparkContext.addFile(path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString())
+    spark.sparkContext.addFile(files.makeQualified(path).toString())
     return name
 
 
